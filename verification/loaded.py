@@ -28,7 +28,8 @@ def loaded(spark, folder):
     if (session, folder) not in _loads:
         config = LoadConfig(data_root=folder, mart_root=scratch_folder(spark))
         load_feed(spark, feed(spark, folder), config, RUN_DATE)
-        _loads[session, folder] = config
-    config = _loads[session, folder]
-    staged = [spark.read.parquet(config.staging(name, RUN_DATE)) for name in ("routed", "kept")]
-    return Load(*staged, Mart(spark, config.mart_root).tables())
+        routed, kept = [
+            spark.read.parquet(config.staging(name, RUN_DATE)) for name in ("routed", "kept")
+        ]
+        _loads[session, folder] = Load(routed, kept, Mart(spark, config.mart_root).tables())
+    return _loads[session, folder]
