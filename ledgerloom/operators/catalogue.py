@@ -78,16 +78,31 @@ def category_histogram(rows, products):
     )
 
 
-def build_products(routed):
-    """Products with at least one accepted row, from validated rows.
+def choose_names(routed):
+    """(stock_code, description, accepted) per product, from validated rows.
+
+    Names are chosen over all rows, rejected ones too; ``accepted`` tells
+    whether any row of the product is.
+    """
+    return _most_frequent(spellings(routed))
+
+
+def products_from(names):
+    """Products with an accepted row, named and categorised.
 
-    Names are chosen over all rows, rejected ones too. Dropping duplicates
-    never drops a product, so this needs no deduplicated rows and no join.
+    Dropping duplicates never drops a product, so this needs neither the
+    deduplicated rows nor a join with them.
     """
-    chosen = _most_frequent(spellings(routed)).filter("accepted")
-    return assign_categories(
-        chosen.select("stock_code", F.coalesce("description", F.lit(UNKNOWN)).alias("description"))
-    ).withColumnsRenamed({"stock_code": "product_code", "description": "canonical_name"})
+    chosen = names.filter("accepted").select(
+        "stock_code", F.coalesce("description", F.lit(UNKNOWN)).alias("description")
+    )
+    return assign_categories(chosen).withColumnsRenamed(
+        {"stock_code": "product_code", "description": "canonical_name"}
+    )
+
+
+def build_products(routed):
+    return products_from(choose_names(routed))
 
 
 def description_variants(rows, products):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..schemas import MONEY, PRICE
+from ..schemas import MONEY, PRICE, TEXT_LENGTHS, required_columns
 
 
 def duplicate_keys(rows, keys):
@@ -21,40 +21,53 @@ def orphan_keys(rows, column, parent, parent_key=None):
     return used.join(known, column, "left_anti")
 
 
-def _count_failures(rows, failures):
+def count_failures(rules):
+    """One counting column per rule; a rule is a condition that is true on failure."""
+    return [F.count_if(failed).alias(name) for name, failed in rules.items()]
+
+
+def violations(rows, rules):
     """(rule, violations), one row per rule, from one pass over ``rows``."""
-    counted = rows.agg(*[F.count_if(test).alias(name) for name, test in failures.items()])
-    return counted.unpivot([], list(failures), "rule", "violations")
+    return rows.agg(*count_failures(rules)).unpivot([], list(rules), "rule", "violations")
 
 
-def null_values(rows, columns):
-    return _count_failures(rows, {c: F.col(f"`{c}`").isNull() for c in columns})
+def null_rules(columns):
+    return {c: F.col(c).isNull() for c in columns}
 
 
-def out_of_range(rows, types):
+def range_rules(types):
     """Numbers that do not fit the type of their column."""
-    tests = {
+    return {
         c: F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull() for c, kind in types.items()
     }
-    return _count_failures(rows, tests)
 
 
-def too_long(rows, lengths):
-    return _count_failures(rows, {c: F.length(c) > n for c, n in lengths.items()})
+def length_rules(lengths):
+    return {c: F.length(c) > n for c, n in lengths.items()}
 
 
-# What an accepted row must satisfy before it is loaded into the fact table.
-FACT_RANGES = {"quantity": "int", "unit_price": PRICE, "revenue": MONEY}
+def table_rules(table):
+    """Null and length rules of a stored table."""
+    nulls = {f"null:{c}": t for c, t in null_rules(required_columns(table)).items()}
+    return nulls | {f"length:{c}": t for c, t in length_rules(TEXT_LENGTHS[table]).items()}
 
 
-def fact_problems(rows, lengths, required):
-    """Null, range and length violations of staged fact input, in one pass."""
+def fact_rules(kept):
+    """What the fact table demands of the rows about to be loaded."""
+    names = {"stock_code": "product_code", "_source": "source"}
+    required = required_columns("fact_transactions")
+    lengths = TEXT_LENGTHS["fact_transactions"]
+    rules = {}
+    for column in kept.columns:
+        stored = names.get(column, column)
+        if stored in required and stored != "gross_revenue":
+            rules[f"null:{column}"] = F.col(column).isNull()
+        if stored in lengths:
+            rules[f"length:{column}"] = F.length(column) > lengths[stored]
     revenue = F.coalesce("gross_revenue", "return_amount")
-    staged = rows.withColumn("revenue", revenue)
-    tests = {f"null:{c}": F.col(c).isNull() for c in required}
-    tests |= {
-        f"range:{c}": F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull()
-        for c, kind in FACT_RANGES.items()
+    numbers = {
+        "quantity": F.col("quantity").try_cast("int"),
+        "unit_price": F.col("unit_price").try_cast(PRICE),
+        "revenue": revenue.try_cast(MONEY),
     }
-    tests |= {f"length:{c}": F.length(c) > n for c, n in lengths.items()}
-    return _count_failures(staged, tests)
+    return rules | {f"range:{name}": value.isNull() for name, value in numbers.items()}

@@ -1,19 +1,20 @@
 """The daily load: two extracts in, a refreshed star schema out."""
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..constants import DATE_FORMATS, SOURCE_PRIORITY
 from ..functions import month_id
-from ..operators.catalogue import build_products, canonical_descriptions, with_canonical
-from ..operators.checks import fact_problems
+from ..operators.catalogue import choose_names, products_from, with_canonical
+from ..operators.checks import count_failures, fact_rules
 from ..operators.merge import absent_rows, anonymous_customer, upsert, with_surrogate_key
 from ..operators.metrics import run_metrics
 from ..operators.route import reject_entries, rejected
 from ..operators.star import build_customers, build_daily_revenue, build_dates, build_fact
-from ..schemas import TEXT_LENGTHS
 from ..session import configure
 from ..sinks import Mart
 from ..sources import read_history, read_sales, unify
@@ -65,40 +66,62 @@ def run_daily_load(spark, config, run_date):
 def load_feed(spark, feed, config, run_date):
     """Load a unified feed; safe to repeat.
 
-    A rerun changes no table (rejects: see ``LoadConfig``). Two staged tables
-    cut the lineage: the routed feed, so text is read and parsed once, and the
-    rows kept after deduplication. Everything else reads those.
+    A rerun changes no table (rejects: see ``LoadConfig``). Staged tables cut
+    the lineage: text is read and parsed once, rows are deduplicated once and
+    names chosen once, and everything else reads those tables. What does not
+    depend on each other is loaded at the same time; facts follow their
+    dimensions.
     """
     configure(spark)
     mart = Mart(spark, config.mart_root)
-    routed, kept = stage(feed, config, run_date)
-    check_kept(kept, config.strict)
-
-    load_products(mart, routed)
-    load_customers(mart, kept)
-    load_dates(mart, kept)
-    load_fact(mart, kept, config.fact_key, config.null_invoice_text)
-    load_daily_revenue(mart, None if config.refresh_all_days else kept)
-    rejects = with_canonical(rejected(routed), canonical_descriptions(routed))
-    load_rejects(mart, rejects, run_date, config.rejects)
-
-    metrics = run_metrics(routed, kept).orderBy("stage", "source").collect()
+    staged = stage(feed, config, run_date)
+    rejects = with_canonical(rejected(staged.routed), staged.names.drop("accepted"))
+    with ThreadPoolExecutor(4) as pool:
+        jobs = [
+            pool.submit(load_products, mart, staged.names),
+            pool.submit(load_customers, mart, staged.kept),
+            pool.submit(load_dates, mart, staged.kept),
+            pool.submit(load_rejects, mart, rejects, run_date, config.rejects),
+        ]
+        for job in jobs:
+            job.result()
+    load_fact(mart, staged.kept, config.fact_key, config.null_invoice_text)
+    load_daily_revenue(mart, None if config.refresh_all_days else staged.kept)
+
+    metrics = run_metrics(staged.routed, staged.kept).orderBy("stage", "source").collect()
     for row in metrics:
         log.info("%s %s: %d", row.stage, row.source, row.n)
     return {(row.stage, row.source): row.n for row in metrics}
 
 
+@dataclass(frozen=True)
+class Staged:
+    """The tables a load works from."""
+
+    routed: DataFrame
+    kept: DataFrame
+    names: DataFrame
+
+
 def stage(feed, config, run_date):
-    """Write the routed and the kept rows of a run; return them as read back."""
+    """Write routed rows, kept rows and product names; return them as read back."""
+    reject = F.col("_reject_reason").isNotNull()
     routed = _staged(
-        route(feed, config.date_formats).withColumn(
-            "is_rejected", F.col("_reject_reason").isNotNull()
+        # Accepted rows need their original texts no more.
+        route(feed, config.date_formats).withColumns(
+            {"is_rejected": reject, "_raw": F.when(reject, F.col("_raw"))}
         ),
         config.staging("routed", run_date),
         partition="is_rejected",
     )
-    kept = _staged(keep(routed, config.priority), config.staging("kept", run_date))
-    return routed, kept
+    kept, problems = keep(routed, config.priority), Observation()
+    kept = _staged(
+        kept.observe(problems, *count_failures(fact_rules(kept))),
+        config.staging("kept", run_date),
+    )
+    _report(problems.get, config.strict)
+    names = _staged(choose_names(routed), config.staging("names", run_date))
+    return Staged(routed, kept, names)
 
 
 def _staged(rows, path, partition=None):
@@ -108,26 +131,21 @@ def _staged(rows, path, partition=None):
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def check_kept(kept, strict=True):
-    """Look for values the fact table cannot hold, in one pass."""
-    lengths = dict(TEXT_LENGTHS["fact_transactions"], stock_code=20, _source=50)
-    lengths = {c: n for c, n in lengths.items() if c in kept.columns}
-    required = ["stock_code", "customer_id", "date_id", "invoice_date", "_source"]
-    problems = fact_problems(kept, lengths, required + ["invoice_no"])
-    found = {row.rule: row.violations for row in problems.collect() if row.violations}
+def _report(violations, strict):
+    """Warn about values the fact table cannot hold; stop if ``strict``."""
+    found = {rule: n for rule, n in violations.items() if n}
     for rule, count in found.items():
         log.warning("%s: %d rows", rule, count)
     # A missing invoice number is loaded and reported, never refused.
     blocking = {rule: n for rule, n in found.items() if rule != "null:invoice_no"}
     if strict and blocking:
         raise ConstraintError(f"rows that do not fit the fact table: {blocking}")
-    return found
 
 
-def load_products(mart, routed):
+def load_products(mart, names):
     """Update or insert: name and category follow the newest feed."""
     now = F.current_timestamp()
-    fresh = build_products(routed).withColumns(
+    fresh = products_from(names).withColumns(
         {"is_active": F.lit(True), "created_at": now, "updated_at": now}
     )
     merged = upsert(

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even where that costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A few open files per task instead of a sort where rows go to few folders.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 

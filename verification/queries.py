@@ -290,14 +290,14 @@ def check_nulls(spark, folder):
         "invoice_no", "spelling", "quantity", "invoice_date", "unit_price", "customer_id",
         "country",
     ]
-    return checks.null_values(spelled, columns)
+    return checks.violations(spelled, checks.null_rules(columns))
 
 
 def check_range_length(spark, folder):
     rows = loaded(spark, folder).routed
     ranges = {"unit_price": "decimal(5,2)", "quantity": "decimal(3,2)"}
     lengths = {"invoice_no": 4, "stock_code": 5, "country": 8}
-    return checks.out_of_range(rows, ranges).unionByName(checks.too_long(rows, lengths))
+    return checks.violations(rows, checks.range_rules(ranges) | checks.length_rules(lengths))
 
 
 # Business questions --------------------------------------------------------------
