@@ -30,6 +30,8 @@ def session():
         .appName("ledgerloom-bench")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
+        # Files and partitions of a few megabytes, as the data has tens of them.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -29,21 +29,21 @@ def upsert(stored, new, keys, update):
     return joined.select(*[merged(name) for name in stored.columns])
 
 
-def absent_rows(stored, new, keys, order=None):
+def absent_rows(stored, new, keys, order=None, null_safe=False):
     """Rows of ``new`` to insert: one per key, and only keys not stored yet.
 
-    Without ``order`` the keys of ``new`` must be unique already. Null keys
-    match each other, so a rerun inserts nothing.
+    Without ``order`` the keys of ``new`` must be unique already. Keys that
+    may be null need ``null_safe``, or a rerun would insert them again.
     """
     if order is not None:
         new = first_per_key(new, keys, order)
     known = stored.select(*keys).alias("old")
-    return new.alias("new").join(known, _match(keys), "left_anti")
+    return new.alias("new").join(known, _match(keys, null_safe), "left_anti")
 
 
-def _match(keys):
-    pairs = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]
-    return reduce(and_, pairs)
+def _match(keys, null_safe=False):
+    sides = [(F.col(f"old.{k}"), F.col(f"new.{k}")) for k in keys]
+    return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in sides])
 
 
 def with_surrogate_key(rows, name, stored):

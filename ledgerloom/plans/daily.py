@@ -7,11 +7,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..constants import DATE_FORMATS, SOURCE_PRIORITY
+from ..constants import ANONYMOUS, DATE_FORMATS, SOURCE_PRIORITY
 from ..functions import month_id
 from ..operators.catalogue import choose_names, products_from, with_canonical
 from ..operators.checks import count_failures, fact_rules
-from ..operators.merge import absent_rows, anonymous_customer, upsert, with_surrogate_key
+from ..operators.merge import absent_rows, upsert, with_surrogate_key
 from ..operators.metrics import run_metrics
 from ..operators.route import reject_entries, rejected
 from ..operators.star import build_customers, build_daily_revenue, build_dates, build_fact
@@ -73,7 +73,7 @@ def load_feed(spark, feed, config, run_date):
     dimensions.
     """
     configure(spark)
-    mart = Mart(spark, config.mart_root)
+    mart = Mart(spark, config.mart_root).create()
     staged = stage(feed, config, run_date)
     rejects = with_canonical(rejected(staged.routed), staged.names.drop("accepted"))
     with ThreadPoolExecutor(4) as pool:
@@ -158,11 +158,13 @@ def load_products(mart, names):
 
 
 def load_customers(mart, kept):
-    """Insert new customers; a stored one always wins, the anonymous one first."""
-    stored = mart.read("dim_customers")
-    seed = anonymous_customer(mart.spark)
-    fresh = build_customers(kept).join(seed.select("customer_id"), "customer_id", "left_anti")
-    new = absent_rows(stored, seed.unionByName(fresh), ["customer_id"])
+    """Insert new customers; a stored one always wins.
+
+    The anonymous customer is there from the start, so its many rows are
+    dropped before anything is shuffled.
+    """
+    fresh = build_customers(kept).filter(F.col("customer_id") != ANONYMOUS)
+    new = absent_rows(mart.read("dim_customers"), fresh, ["customer_id"])
     mart.append("dim_customers", new.withColumn("created_at", F.current_timestamp()))
 
 
@@ -173,7 +175,7 @@ def load_dates(mart, kept):
 def load_fact(mart, kept, key=FACT_KEY, null_invoice_text=None):
     """Insert the rows whose key is not stored yet."""
     stored = mart.read("fact_transactions")
-    new = absent_rows(stored, build_fact(kept, null_invoice_text), key)
+    new = absent_rows(stored, build_fact(kept, null_invoice_text), key, null_safe=True)
     new = new.withColumn("loaded_at", F.current_timestamp())
     mart.append("fact_transactions", with_surrogate_key(new, "transaction_id", stored))
 
@@ -185,9 +187,10 @@ def load_daily_revenue(mart, kept=None):
     never changed or deleted, so all other days keep their sums.
     """
     fact = mart.read("fact_transactions")
-    if kept is not None and "month_id" in fact.columns:
-        touched = kept.select(month_id(F.col("date_id")).alias("month_id")).distinct()
-        fact = fact.join(touched, "month_id", "left_semi")
+    if kept is not None:
+        # A calendar has few months, so their list is small; it prunes folders.
+        months = kept.select(month_id(F.col("date_id")).alias("month_id")).distinct()
+        fact = fact.filter(F.col("month_id").isin([row.month_id for row in months.collect()]))
     daily = build_daily_revenue(fact).withColumn("updated_at", F.current_timestamp())
     mart.replace_partitions("agg_daily_revenue", daily)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import month_id
+from ..operators.merge import anonymous_customer
 from ..schemas import TABLES
 
 # Large tables are laid out by month, the audit log by run.
@@ -28,20 +29,30 @@ class Mart:
     def path(self, table):
         return f"{self.root.rstrip('/')}/{table}"
 
+    def create(self):
+        """Start an empty store with the anonymous customer; harmless later."""
+        if not self._exists(f"{self.path('dim_customers')}/_SUCCESS"):
+            seed = anonymous_customer(self.spark)
+            self.append("dim_customers", seed.withColumn("created_at", F.current_timestamp()))
+        return self
+
     # Reading ---------------------------------------------------------------
 
     def read(self, table) -> DataFrame:
         """The stored rows; an empty frame while nothing is stored."""
-        schema = TABLES[table]
         folder = self._newest(table) if table in REWRITTEN else self.path(table)
         if folder is None or not self._exists(folder):
             # A filter the optimizer sees through: joins with this cost nothing.
-            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+            columns = self._stored_schema(table)
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in columns]
             return self.spark.range(1).select(*nothing).filter(F.lit(False))
-        if table in MONTHLY:
-            # Kept in the frame: a filter on it prunes folders.
-            schema = T.StructType(schema.fields + [T.StructField("month_id", T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(folder)
+        return self.spark.read.schema(self._stored_schema(table)).parquet(folder)
+
+    @staticmethod
+    def _stored_schema(table):
+        """The table's columns and, if it is laid out by month, the month."""
+        month = [T.StructField("month_id", T.IntegerType())] if table in MONTHLY else []
+        return T.StructType(TABLES[table].fields + month)
 
     def tables(self):
         return {name: self.read(name) for name in TABLES}

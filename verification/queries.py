@@ -198,8 +198,8 @@ def _history(load):
 
 def _stored_customers(spark, kept):
     """Customers of a first load: the seeded row is there before any other."""
-    seed = merge.anonymous_customer(spark)
-    return seed.unionByName(merge.absent_rows(seed, star.build_customers(kept), ["customer_id"]))
+    fresh = star.build_customers(kept).filter(F.col("customer_id") != ANONYMOUS)
+    return merge.anonymous_customer(spark).unionByName(fresh)
 
 
 def merge_upsert_products(spark, folder):
