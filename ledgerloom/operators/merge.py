@@ -46,11 +46,9 @@ def _match(keys, null_safe=False):
     return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in sides])
 
 
-def with_surrogate_key(rows, name, stored):
-    """Add unique ids above those stored; like a sequence, they have gaps."""
-    highest = stored.agg(F.coalesce(F.max(name), F.lit(0)).alias("top"))
-    base = highest.scalar()
-    return rows.withColumn(name, base + 1 + F.monotonically_increasing_id())
+def with_surrogate_key(rows, name, highest):
+    """Add unique ids above ``highest``; like a sequence, they have gaps."""
+    return rows.withColumn(name, F.lit(highest + 1) + F.monotonically_increasing_id())
 
 
 def anonymous_customer(spark):

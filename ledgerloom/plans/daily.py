@@ -177,7 +177,8 @@ def load_fact(mart, kept, key=FACT_KEY, null_invoice_text=None):
     stored = mart.read("fact_transactions")
     new = absent_rows(stored, build_fact(kept, null_invoice_text), key, null_safe=True)
     new = new.withColumn("loaded_at", F.current_timestamp())
-    mart.append("fact_transactions", with_surrogate_key(new, "transaction_id", stored))
+    highest = mart.highest("fact_transactions", "transaction_id")
+    mart.append("fact_transactions", with_surrogate_key(new, "transaction_id", highest))
 
 
 def load_daily_revenue(mart, kept=None):
@@ -198,7 +199,7 @@ def load_daily_revenue(mart, kept=None):
 def load_rejects(mart, rejects, run_date, mode="append"):
     """Log the rejected rows of a run."""
     entries = reject_entries(rejects, run_date)
-    entries = with_surrogate_key(entries, "reject_id", mart.read("reject_log"))
+    entries = with_surrogate_key(entries, "reject_id", mart.highest("reject_log", "reject_id"))
     entries = entries.withColumn("logged_at", F.current_timestamp())
     if mode == "append":
         mart.append("reject_log", entries)

@@ -40,7 +40,9 @@ class Mart:
 
     def read(self, table) -> DataFrame:
         """The stored rows; an empty frame while nothing is stored."""
-        folder = self._newest(table) if table in REWRITTEN else self.path(table)
+        folder = self.path(table)
+        if table in REWRITTEN:
+            folder = max(self._versions(table), default=None)
         if folder is None or not self._exists(folder):
             # A filter the optimizer sees through: joins with this cost nothing.
             columns = self._stored_schema(table)
@@ -57,6 +59,25 @@ class Mart:
     def tables(self):
         return {name: self.read(name) for name in TABLES}
 
+    def register(self, prefix=""):
+        """Make the tables temporary views, for questions in SQL."""
+        for name, rows in self.tables().items():
+            rows.createOrReplaceTempView(prefix + name)
+
+    def highest(self, table, column):
+        """Largest number in an append-only table, 0 if there is none.
+
+        A session of its own turns on the push-down that answers this from
+        the Parquet footers, without reading the column.
+        """
+        if not self._exists(self.path(table)):
+            return 0
+        probe = self.spark.newSession()
+        probe.conf.set("spark.sql.sources.useV1SourceList", "")
+        probe.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        stored = probe.read.schema(self._stored_schema(table)).parquet(self.path(table))
+        return stored.agg(F.max(column)).first()[0] or 0
+
     # Writing ---------------------------------------------------------------
 
     def append(self, table, rows):
@@ -64,10 +85,17 @@ class Mart:
         self._writer(table, rows).mode("append").parquet(self.path(table))
 
     def replace(self, table, rows):
-        """Write all rows of a rewritten table as its next version."""
-        number = self._version_number(self._newest(table)) + 1
+        """Write all rows of a rewritten table as its next version.
+
+        The version before it stays for whoever is still reading it.
+        """
+        versions = self._versions(table)
+        number = self._version_number(versions[-1]) + 1 if versions else 1
         target = f"{self.path(table)}/version={number:09d}"
         self._shaped(table, rows).write.mode("overwrite").parquet(target)
+        for outdated in versions[:-1]:
+            where, files = self._hadoop(outdated)
+            files.delete(where, True)
 
     def replace_partitions(self, table, rows):
         """Overwrite just the months (or the run) that ``rows`` contain."""
@@ -102,15 +130,14 @@ class Mart:
         where, files = self._hadoop(folder)
         return files.exists(where)
 
-    def _newest(self, table):
-        """Folder of the newest complete version, or None."""
+    def _versions(self, table):
+        """Folders of the complete versions, oldest first."""
         if not self._exists(self.path(table)):
-            return None
+            return []
         where, files = self._hadoop(self.path(table))
-        versions = [status.getPath().toString() for status in files.listStatus(where)]
-        complete = [v for v in versions if self._exists(f"{v}/_SUCCESS")]
-        return max(complete, default=None)
+        versions = sorted(status.getPath().toString() for status in files.listStatus(where))
+        return [v for v in versions if self._exists(f"{v}/_SUCCESS")]
 
     @staticmethod
     def _version_number(folder):
-        return int(folder.rsplit("=", 1)[1]) if folder else 0
+        return int(folder.rsplit("=", 1)[1])

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.__main__ import main
 from ledgerloom.constants import HISTORY_HEADERS, SALES_HEADERS
 from ledgerloom.operators import checks
 from ledgerloom.plans.business import QUESTIONS
@@ -97,6 +98,33 @@ def test_a_rerun_changes_nothing(spark, first):
     assert after[0] == created[0] and after[1] > created[0]
 
 
+def test_highest_number_comes_from_the_footers(spark, first):
+    mart = Mart(spark, first[0].mart_root)
+    ids = [r.transaction_id for r in mart.read("fact_transactions").collect()]
+    assert mart.highest("fact_transactions", "transaction_id") == max(ids)
+    assert Mart(spark, "/nowhere").highest("fact_transactions", "transaction_id") == 0
+
+
+def test_tables_answer_sql(spark, first):
+    Mart(spark, first[0].mart_root).register("shop_")
+    (row,) = spark.sql(
+        """
+        SELECT p.category, SUM(a.net_revenue) AS net FROM shop_agg_daily_revenue a
+        JOIN shop_dim_products p ON a.product_code = p.product_code
+        GROUP BY p.category HAVING SUM(a.total_return_qty) > 0
+        """
+    ).collect()
+    assert (row.category, float(row.net)) == ("PAPELERIA", -4.0)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    data, mart = write_inputs(tmp_path / "in"), str(tmp_path / "mart")
+    metrics = main(["load", "--data", data, "--mart", mart, "--date", "2024-01-01"])
+    assert metrics["read", "sales_csv"] == 5
+    main(["ask", "--mart", mart, "q6a_product_count"])
+    assert "|3 " in capsys.readouterr().out
+
+
 def test_appended_rejects_repeat(spark, tmp_path):
     config = LoadConfig(write_inputs(tmp_path / "in"), str(tmp_path / "mart"))
     for day in ("2024-01-01", "2024-01-01", "2024-01-02"):
@@ -182,8 +210,13 @@ def test_a_version_that_was_not_completed_is_ignored(spark, tmp_path):
         F.current_timestamp().alias("created_at"), F.current_timestamp().alias("updated_at"),
     )
     mart.replace("dim_products", row)
+    mart.replace("dim_products", row)
     mart.replace("dim_products", row.union(row))
-    newest = tmp_path / "mart" / "dim_products" / "version=000000002" / "_SUCCESS"
+    folder = tmp_path / "mart" / "dim_products"
+    assert sorted(p.name for p in folder.glob("version=*")) == [
+        "version=000000002", "version=000000003",
+    ]
+    newest = tmp_path / "mart" / "dim_products" / "version=000000003" / "_SUCCESS"
     assert mart.read("dim_products").count() == 2
     newest.unlink()
     assert mart.read("dim_products").count() == 1
