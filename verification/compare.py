@@ -9,6 +9,10 @@ from pathlib import Path
 
 import duckdb
 
+SPARK_TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+    "BOOLEAN": "boolean", "DATE": "date",
+}
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
@@ -34,6 +38,9 @@ def difference(answer, database, sql):
     """None if both sides agree, else a short description."""
     expected = database.execute(sql)
     names = [d[0] for d in expected.description]
+    kinds = {d[0]: SPARK_TYPES.get(str(d[1]), str(d[1])) for d in expected.description}
+    if kinds != dict(answer.dtypes):
+        return f"types {answer.dtypes} != {kinds}"
     want_columns, want = _canonical(names, expected.fetchall())
     got_columns, got = _canonical(answer.columns, [tuple(r) for r in answer.collect()])
     if want_columns != got_columns:

@@ -20,6 +20,7 @@ class Load:
 
     routed: DataFrame
     kept: DataFrame
+    names: DataFrame
     tables: dict
 
 
@@ -28,8 +29,9 @@ def loaded(spark, folder):
     if (session, folder) not in _loads:
         config = LoadConfig(data_root=folder, mart_root=scratch_folder(spark))
         load_feed(spark, feed(spark, folder), config, RUN_DATE)
-        routed, kept = [
-            spark.read.parquet(config.staging(name, RUN_DATE)) for name in ("routed", "kept")
+        staged = [
+            spark.read.parquet(config.staging(name, RUN_DATE))
+            for name in ("routed", "kept", "names")
         ]
-        _loads[session, folder] = Load(routed, kept, Mart(spark, config.mart_root).tables())
+        _loads[session, folder] = Load(*staged, Mart(spark, config.mart_root).tables())
     return _loads[session, folder]

@@ -446,17 +446,17 @@ ON COLUMNS(*) INTO NAME rule VALUE violations""",
     "check_range_length": _with(
         "routed",
         """
-SELECT 'unit_price' AS rule, count_if(unit_price IS NOT NULL
+SELECT 'unit_price' AS rule, count(*) FILTER (WHERE unit_price IS NOT NULL
     AND try_cast(unit_price AS decimal(5, 2)) IS NULL) AS violations FROM routed
 UNION ALL
-SELECT 'quantity', count_if(quantity IS NOT NULL
+SELECT 'quantity', count(*) FILTER (WHERE quantity IS NOT NULL
     AND try_cast(quantity AS decimal(3, 2)) IS NULL) FROM routed
 UNION ALL
-SELECT 'invoice_no', count_if(length(invoice_no) > 4) FROM routed
+SELECT 'invoice_no', count(*) FILTER (WHERE length(invoice_no) > 4) FROM routed
 UNION ALL
-SELECT 'stock_code', count_if(length(stock_code) > 5) FROM routed
+SELECT 'stock_code', count(*) FILTER (WHERE length(stock_code) > 5) FROM routed
 UNION ALL
-SELECT 'country', count_if(length(country) > 8) FROM routed""",
+SELECT 'country', count(*) FILTER (WHERE length(country) > 8) FROM routed""",
     ),
     "q1_monthly_net": _with(
         "daily dim_date",

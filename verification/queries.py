@@ -88,12 +88,6 @@ def parse_dates(spark, folder):
     return _comparable(moment.withColumn("date_id", F.to_date("invoice_date")))
 
 
-def canonical_description(spark, folder):
-    rows = normalise_code(feed(spark, folder, ["invoice_no", "stock_code", "description"]))
-    named = catalogue.with_canonical(rows, catalogue.canonical_descriptions(rows))
-    return named.select("invoice_no", "stock_code", "description")
-
-
 def customer_norm(spark, folder):
     rows = normalise_customer(feed(spark, folder, ["invoice_no", "customer_id"]))
     return rows.select(
@@ -108,8 +102,17 @@ def route_reasons(spark, folder):
     )
 
 
+# Load results ----------------------------------------------------------------
+
+
+def canonical_description(spark, folder):
+    routed = loaded(spark, folder).routed
+    named = catalogue.with_canonical(routed, catalogue.canonical_descriptions(routed))
+    return named.select("invoice_no", "stock_code", "description")
+
+
 def dedup_priority(spark, folder):
-    kept = transform.keep(transform.route(feed(spark, folder)))
+    kept = transform.keep(loaded(spark, folder).routed)
     return _comparable(
         kept.select(
             "invoice_no", "stock_code", "_source", "quantity", "unit_price", "customer_id",
@@ -119,17 +122,15 @@ def dedup_priority(spark, folder):
 
 
 def split_revenue(spark, folder):
-    sales, returns, _ = transform.transform(feed(spark, folder), RUN_DATE)
-    both = sales.unionByName(returns, allowMissingColumns=True)
+    load = loaded(spark, folder)
+    rows = catalogue.with_canonical(load.kept, load.names.drop("accepted"))
+    both = star.sales_of(rows).unionByName(star.returns_of(rows), allowMissingColumns=True)
     return both.select(
         "invoice_no", "stock_code", "transaction_type", "description", "date_id",
         "gross_revenue", "return_amount",
     )
 
 
-# Load results ----------------------------------------------------------------
-
-
 def reject_rows(spark, folder):
     """The audit log, its JSON unpacked again."""
     log = loaded(spark, folder).tables["reject_log"]
