@@ -114,13 +114,17 @@ def stage(feed, config, run_date):
         config.staging("routed", run_date),
         partition="is_rejected",
     )
-    kept, problems = keep(routed, config.priority), Observation()
-    kept = _staged(
-        kept.observe(problems, *count_failures(fact_rules(kept))),
-        config.staging("kept", run_date),
-    )
+    with ThreadPoolExecutor(1) as pool:
+        choosing = pool.submit(
+            _staged, choose_names(routed), config.staging("names", run_date)
+        )
+        kept, problems = keep(routed, config.priority), Observation()
+        kept = _staged(
+            kept.observe(problems, *count_failures(fact_rules(kept))),
+            config.staging("kept", run_date),
+        )
+        names = choosing.result()
     _report(problems.get, config.strict)
-    names = _staged(choose_names(routed), config.staging("names", run_date))
     return Staged(routed, kept, names)
 
 
@@ -204,6 +208,6 @@ def load_rejects(mart, rejects, run_date, mode="append"):
     if mode == "append":
         mart.append("reject_log", entries)
     elif mode == "replace":
-        mart.replace_partitions("reject_log", entries)
+        mart.replace_run("reject_log", "pipeline_run_date", run_date, entries)
     else:
         raise ValueError(f"rejects must be 'append' or 'replace', not {mode!r}")

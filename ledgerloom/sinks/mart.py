@@ -97,8 +97,13 @@ class Mart:
             where, files = self._hadoop(outdated)
             files.delete(where, True)
 
+    def replace_run(self, table, column, value, rows):
+        """Overwrite the folder of one run, also when it has no rows left."""
+        folder = f"{self.path(table)}/{column}={value}"
+        self._shaped(table, rows).drop(column).write.mode("overwrite").parquet(folder)
+
     def replace_partitions(self, table, rows):
-        """Overwrite just the months (or the run) that ``rows`` contain."""
+        """Overwrite just the months that ``rows`` contain."""
         rows = self._shaped(table, rows)
         (
             self._writer(table, rows)

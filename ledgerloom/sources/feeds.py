@@ -8,6 +8,7 @@ from ..constants import (
     FEED_COLUMNS,
     HISTORY_HEADERS,
     HISTORY_SOURCE,
+    NULL_TOKENS,
     SALES_HEADERS,
     SALES_SOURCE,
 )
@@ -49,7 +50,10 @@ def read_extract(spark, path, encoding="ISO-8859-1", multiline=False):
         raw = spark.read.csv(
             path, header=True, encoding=encoding, quote='"', escape='"', multiLine=multiline
         )
-    return raw.select(*[null_tokens(raw[f"`{c}`"].cast("string")).alias(c) for c in raw.columns])
+    # Literals made once for all columns: each costs a round trip to the JVM.
+    tokens = [F.lit(token) for token in NULL_TOKENS]
+    texts = {c: F.col(f"`{c}`").cast("string") for c in raw.columns}
+    return raw.select(*[null_tokens(text, tokens).alias(c) for c, text in texts.items()])
 
 
 def read_sales(spark, path, **options):

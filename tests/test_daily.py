@@ -135,6 +135,17 @@ def test_appended_rejects_repeat(spark, tmp_path):
     assert mart.read("fact_transactions").count() == 4
 
 
+def test_replaced_rejects_may_vanish(spark, tmp_path):
+    root = tmp_path / "in"
+    config = LoadConfig(write_inputs(root), str(tmp_path / "mart"), rejects="replace")
+    run_daily_load(spark, config, "2024-01-01")
+    run_daily_load(spark, config, "2024-01-02")
+    write_inputs(root, SALES[:3])
+    run_daily_load(spark, config, "2024-01-01")
+    (reject,) = Mart(spark, config.mart_root).read("reject_log").collect()
+    assert reject.pipeline_run_date == dt.date(2024, 1, 2)
+
+
 def test_a_second_day_adds_and_updates(spark, tmp_path):
     root = tmp_path / "in"
     config = LoadConfig(write_inputs(root), str(tmp_path / "mart"))
