@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import pieces, read_table
 
-# A piece: up to 400 characters, then closing marks and white space.
-PIECE = re.compile(r"[^.!?;|*%\n]{1,400}[.!?;|*%]*[^\S\n]*|[.!?;|*%]+[^\S\n]*")
-WORD_PIECE = re.compile(r"\S+\s*|\s+")
-SHORT = 240
+# A piece: up to 60 characters, then closing marks and white space.
+PIECE = re.compile(r"[^.!?;|*%\n]{1,60}[.!?;|*%]*[^\S\n]*|[.!?;|*%]+[^\S\n]*")
+WORD_PIECE = re.compile(r"\S+")
+SHORT = 120
 SECTION_ENDS = 8
 LEAF = 8
 LAST_ID = 2**63 - 1  # stands for a null id
@@ -57,7 +57,7 @@ def tree(text: str) -> str:
         cut = words(line) if len(line) <= SHORT else sentences(line)
         leaves = [digest(x.encode()) for x in cut]
         section.append(np.array(leaves, ">u4").tobytes().hex())
-        if not leaves or sum(leaves) % SECTION_ENDS == 0:
+        if not line or sum(leaves) % SECTION_ENDS == 0:
             close()
     if section:
         close()
