@@ -119,7 +119,7 @@ def align(template, text, band):
     """Best alignment of the whole template with a part of text: matches, start, end (words).
 
     Text word j may meet template word i only for 0 <= j - i <= 2 * band, where
-    the text begins ``band`` words before the expected place (or less at its start).
+    the text begins ``band`` words before the expected place.
     """
     lowest = -(10**9)
     width = 2 * band + 1
@@ -169,9 +169,11 @@ def matches(column):
         done = (t, k, diagonal)
         a = max(int(before[t]), diagonal - band)
         b = min(int(before[t + 1]), diagonal + len(words[k]) + band + 1)
-        hits, start, end = align(words[k], hashes[a:b].tolist(), band)
-        if hits >= COVERAGE * len(words[k]) and end > start:
-            out.append((t, k, hits, a + start, a + end))
+        # Where the text begins inside the band, words that match nothing fill it up.
+        missing = a - (diagonal - band)
+        hits, start, end = align(words[k], [-1] * missing + hashes[a:b].tolist(), band)
+        if hits >= COVERAGE * len(words[k]):
+            out.append((t, k, hits, a + max(start - missing, 0), a + end - missing))
     best = []
     for row in sorted(out, key=lambda r: (r[0], r[1], -r[2], r[3])):
         if not any(r[:2] == row[:2] and r[3] < row[4] and row[3] < r[4] for r in best[-50:]):

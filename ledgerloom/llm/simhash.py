@@ -148,7 +148,7 @@ def similar_pairs(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET
     with_comp = staged(with_comp.select("mask", "bits", "fp", "comp", "bulk"), "large")
     sizes = with_comp.groupBy("mask", "bits").agg(
         F.ceil(F.count("*") / bucket).alias("columns"),
-        F.ceil(F.count_if("comp <> bulk") / bucket).alias("rows"),
+        F.ceil(F.count_if(F.col("comp") != F.col("bulk")) / bucket).alias("rows"),
     )
     sized = with_comp.join(sizes.where("rows > 0"), ["mask", "bits"])
     salt = F.xxhash64("fp", F.lit(1))
