@@ -25,6 +25,8 @@ def arguments(given=None):
     load.add_argument("--sales", default=LoadConfig.sales_name)
     load.add_argument("--history", default=LoadConfig.history_name)
     load.add_argument("--rejects", choices=["append", "replace"], default=LoadConfig.rejects)
+    load.add_argument("--encoding", help="of delimited extracts; ISO-8859-1 if not given")
+    load.add_argument("--multiline", action="store_true", help="quoted texts hold line breaks")
     ask = commands.add_parser("ask", help="answer a business question")
     ask.add_argument("--mart", required=True, help="folder of the star schema")
     ask.add_argument("question", choices=sorted(QUESTIONS))
@@ -36,17 +38,23 @@ def main(given=None):
     options = arguments(given)
     spark = configure(SparkSession.builder.appName("ledgerloom").getOrCreate())
     if options.command == "load":
+        reader = {"multiline": options.multiline}
+        if options.encoding:
+            reader["encoding"] = options.encoding
         config = LoadConfig(
             data_root=options.data,
             mart_root=options.mart,
             sales_name=options.sales,
             history_name=options.history,
             rejects=options.rejects,
+            reader=reader,
         )
         return run_daily_load(spark, config, options.date)
     answer = QUESTIONS[options.question](Mart(spark, options.mart).tables())
-    # Every question answers with a short report: months, countries or a top k.
-    answer.show(1000, truncate=False)
+    # All rows, a partition at a time: a report may be as long as its groups are many.
+    print("\t".join(answer.columns))
+    for row in answer.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
     return answer
 
 

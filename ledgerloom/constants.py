@@ -53,7 +53,10 @@ NULL_TOKENS = [
 ]
 
 # Date layouts accepted in the feed, tried in this order.
-DATE_FORMATS = ["M/d/yyyy H:mm", "yyyy-MM-dd HH:mm:ss"]
+DATE_FORMATS = [
+    "M/d/yyyy H:mm", "yyyy-MM-dd HH:mm[:ss[.SSSSSSSSS]]",
+    "yyyy-MM-dd'T'HH:mm[:ss[.SSSSSSSSS]]", "yyyy-MM-dd",
+]
 
 # Stand-ins for missing keys and names.
 ANONYMOUS = "ANONYMOUS"

@@ -1,6 +1,8 @@
 """Dates parsed from text, and calendar attributes."""
 
 import re
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import functions as F
 
@@ -10,18 +12,28 @@ from ..constants import DATE_FORMATS
 def parse_timestamp(col, formats=DATE_FORMATS):
     """First of ``formats`` that reads the text, in the session's zone (UTC).
 
-    A layout is only tried where its first separator occurs in the text: a
+    A layout is only tried where all its separators occur in the text: a
     failed parse raises inside the JVM, which costs more than the parse.
     """
 
     def attempt(layout):
         parsed = F.try_to_timestamp(col, F.lit(layout))
-        separator = re.search(r"[^A-Za-z]", layout)
-        return F.when(F.contains(col, F.lit(separator[0])), parsed) if separator else parsed
+        found = [F.contains(col, F.lit(mark)) for mark in _separators(layout)]
+        return F.when(reduce(and_, found), parsed) if found else parsed
 
     return F.coalesce(*[attempt(layout) for layout in formats])
 
 
+def _separators(layout):
+    """The literal texts that ``layout`` requires: not those inside brackets."""
+    inner = None
+    while layout != inner:
+        inner, layout = layout, re.sub(r"\[[^\[\]]*\]", "", layout)
+    quoted = re.findall(r"'([^']+)'", layout)
+    bare = re.sub(r"'[^']*'", "", layout)
+    return sorted(set(quoted + re.findall(r"[^A-Za-z\[\]']", bare)))
+
+
 def month_id(day):
     """Year and month as one integer, e.g. 201012."""
     return (F.year(day) * 100 + F.month(day)).cast("int")

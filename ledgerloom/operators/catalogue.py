@@ -1,5 +1,7 @@
 """Canonical product names and categories."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..constants import CATEGORY_KEYWORDS, UNCATEGORIZED, UNKNOWN
@@ -60,7 +62,7 @@ def category_of(description, keywords=CATEGORY_KEYWORDS):
     lowered = F.lower(description)
     category = F.when(F.upper(description).isin("", UNKNOWN), UNCATEGORIZED)
     for name, words in keywords.items():
-        category = category.when(lowered.rlike("|".join(words)), name)
+        category = category.when(lowered.rlike("|".join(map(re.escape, words))), name)
     return category.otherwise(UNCATEGORIZED)
 
 

@@ -1,36 +1,29 @@
 """Exact percentiles of any number of rows."""
 
-import math
+from decimal import Decimal, localcontext
 
 from pyspark.sql import functions as F
 
 from ..session import use_checkpoints
 
-# Up to this many values one task computes the percentile with the built-in.
-ONE_TASK_VALUES = 1_000_000
+# Digits of the interpolation: more than two values of a Spark decimal need.
+DIGITS = 80
 
 
-def exact_percentiles(rows, columns, fraction, tie_break, one_task_values=ONE_TASK_VALUES):
-    """Linearly interpolated percentile of each column, as Python floats.
+def exact_percentiles(rows, columns, fraction, tie_break):
+    """Linearly interpolated percentile of each column, as exact decimals.
 
-    ``rows`` is read several times: pass a table or a checkpointed frame. The
-    count decides between the built-in, which holds all values in one task,
-    and a distributed sort. ``tie_break`` columns spread equal values.
+    ``rows`` is read once per column: pass a table or a checkpointed frame.
+    ``tie_break`` columns spread equal values. None without a value.
     """
-    n = rows.count()
-    if n == 0:
-        return {c: None for c in columns}
-    if n <= one_task_values:
-        wanted = [F.percentile(F.col(c).cast("double"), fraction).alias(c) for c in columns]
-        return rows.agg(*wanted).first().asDict()
-    return {c: _by_rank(rows, c, fraction, tie_break) for c in columns}
+    return {c: _by_rank(rows, c, Decimal(str(fraction)), tie_break) for c in columns}
 
 
 def _by_rank(rows, column, fraction, tie_break):
     """Sort, then fetch the one or two values around the wanted rank."""
     use_checkpoints(rows.sparkSession)
     known = rows.filter(F.col(column).isNotNull())
-    ordered = known.orderBy(column, *tie_break).select(F.col(column).cast("double").alias("value"))
+    ordered = known.orderBy(column, *tie_break).select(F.col(column).alias("value"))
     # Fixed partitions from here on: the ids below must not change between reads.
     placed = ordered.checkpoint().select("value", F.monotonically_increasing_id().alias("id"))
     # One row per partition: where it starts and how many values it has.
@@ -42,12 +35,13 @@ def _by_rank(rows, column, fraction, tie_break):
     total = sum(size.n for size in sizes)
     if total == 0:
         return None
-    rank = fraction * (total - 1)
-    low, high = math.floor(rank), math.ceil(rank)
-    ids = {r: _id_at(sizes, r) for r in (low, high)}
-    found = {row.id: row.value for row in placed.filter(F.col("id").isin(*ids.values())).collect()}
-    below, above = found[ids[low]], found[ids[high]]
-    return below + (above - below) * (rank - low)
+    with localcontext(prec=DIGITS):
+        rank = fraction * (total - 1)
+        low = int(rank)
+        ids = [_id_at(sizes, r) for r in (low, min(low + 1, total - 1))]
+        found = {row.id: row.value for row in placed.filter(F.col("id").isin(ids)).collect()}
+        below, above = (Decimal(str(found[i])) for i in ids)
+        return below + (above - below) * (rank - low)
 
 
 def _id_at(sizes, rank):

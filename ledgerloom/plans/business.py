@@ -5,13 +5,11 @@ are summed per join key before a dimension is joined: the join then sees one
 row per key, however hot the key. Ties are broken by product code.
 """
 
-from decimal import Decimal
-
 from pyspark.sql import functions as F
 
 from ..constants import ANONYMOUS, ANONYMOUS_LABEL, IDENTIFIED_LABEL, SALE
 from ..functions import percent, ratio
-from ..operators.percentile import ONE_TASK_VALUES, exact_percentiles
+from ..operators.percentile import exact_percentiles
 from ..session import use_checkpoints
 
 MEASURES = [
@@ -205,13 +203,11 @@ def q6b_variants(variants, k=20):
     return variants.orderBy(F.desc("variantes"), "product_code").limit(k)
 
 
-def q7_review_candidates(
-    tables, k=15, min_sold=10, fraction=0.75, one_task_values=ONE_TASK_VALUES
-):
-    """Top-quartile revenue and top-quartile return rate: candidates for review.
+def _review_limits(tables, min_sold, fraction):
+    """Totals per product, and the lowest revenue and return rate to review.
 
-    Totals per product are checkpointed: they are read for the percentiles and
-    again for the answer, and the facts are not.
+    Totals are checkpointed: they are read for each percentile and again for
+    the answer, and the facts are not.
     """
     totals = product_totals(tables, *MEASURES).filter(F.col("total_sales_qty") >= min_sold)
     use_checkpoints(totals.sparkSession)
@@ -222,11 +218,31 @@ def q7_review_candidates(
         ["gross_revenue", "tasa_devolucion_pct"],
         fraction,
         ["product_code"],
-        one_task_values,
     )
-    chosen = stats
+    return stats, {name: _exact(F.lit(value)) for name, value in limits.items()}
+
+
+def _exact(value):
+    # Money and rates have two decimals, limits between two of them a few more.
+    return value.cast("decimal(38,10)")
+
+
+def q7_limits(tables, min_sold=10, fraction=0.75):
+    """The limits of ``q7_review_candidates``, in one row."""
+    stats, limits = _review_limits(tables, min_sold, fraction)
+    return stats.sparkSession.range(1).select(
+        *[value.cast("double").alias(name) for name, value in limits.items()]
+    )
+
+
+def q7_review_candidates(tables, k=15, min_sold=10, fraction=0.75):
+    """Top-quartile revenue and top-quartile return rate: candidates for review.
+
+    A product exactly on a limit is one: limits are compared as decimals.
+    """
+    chosen, limits = _review_limits(tables, min_sold, fraction)
     for name, value in limits.items():
-        chosen = chosen.filter(F.col(name) >= _threshold(value))
+        chosen = chosen.filter(_exact(F.col(name)) >= value)
     return (
         chosen.orderBy(F.desc("return_amount"), "product_code")
         .limit(k)
@@ -244,11 +260,6 @@ def q7_review_candidates(
     )
 
 
-def _threshold(value):
-    # Ten decimals drop the noise of interpolating in binary.
-    return F.lit(None if value is None else Decimal(f"{value:.10f}")).cast("decimal(38,10)")
-
-
 QUESTIONS = {
     "q1_monthly_net": q1_monthly_net,
     "q2_category_returns": q2_category_returns,
@@ -258,5 +269,6 @@ QUESTIONS = {
     "q5_customer_segments": q5_customer_segments,
     "q6a_product_count": q6a_product_count,
     "q6b_literal": q6b_literal,
+    "q7_limits": q7_limits,
     "q7_review_candidates": q7_review_candidates,
 }

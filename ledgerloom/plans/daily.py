@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..constants import ANONYMOUS, DATE_FORMATS, SOURCE_PRIORITY
-from ..functions import month_id
 from ..operators.catalogue import choose_names, products_from, with_canonical
 from ..operators.checks import count_failures, fact_rules
 from ..operators.merge import absent_rows, upsert, with_surrogate_key
@@ -48,6 +47,12 @@ class LoadConfig:
     rejects: str = "append"
     strict: bool = True
     refresh_all_days: bool = False
+    # Options of ``read_extract``: encoding, multiline.
+    reader: dict = field(default_factory=dict)
+
+    def __post_init__(self):
+        if not set(FACT_KEY[:2]) <= set(self.fact_key):
+            raise ValueError(f"fact_key must contain {FACT_KEY[:2]}: rows are unique by them")
 
     def input(self, name):
         return f"{self.data_root.rstrip('/')}/{name}"
@@ -58,8 +63,8 @@ class LoadConfig:
 
 def run_daily_load(spark, config, run_date):
     """Load one day's extracts and return the run's row counts."""
-    sales = read_sales(spark, config.input(config.sales_name))
-    history = read_history(spark, config.input(config.history_name))
+    sales = read_sales(spark, config.input(config.sales_name), **config.reader)
+    history = read_history(spark, config.input(config.history_name), **config.reader)
     return load_feed(spark, unify([sales, history]), config, run_date)
 
 
@@ -85,8 +90,9 @@ def load_feed(spark, feed, config, run_date):
         ]
         for job in jobs:
             job.result()
+    mart.note_months(staged.kept)
     load_fact(mart, staged.kept, config.fact_key, config.null_invoice_text)
-    load_daily_revenue(mart, None if config.refresh_all_days else staged.kept)
+    load_daily_revenue(mart, config.refresh_all_days)
 
     metrics = run_metrics(staged.routed, staged.kept).orderBy("stage", "source").collect()
     for row in metrics:
@@ -185,19 +191,20 @@ def load_fact(mart, kept, key=FACT_KEY, null_invoice_text=None):
     mart.append("fact_transactions", with_surrogate_key(new, "transaction_id", highest))
 
 
-def load_daily_revenue(mart, kept=None):
-    """Recompute the daily sums from all facts.
+def load_daily_revenue(mart, all_days=False):
+    """Recompute the daily sums of the noted months from all their facts.
 
-    Given the rows of a load, only their months are recomputed: facts are
-    never changed or deleted, so all other days keep their sums.
+    Months are noted before facts are written and forgotten after their sums:
+    those of a load that was lost in between are recomputed by the next one.
+    Facts are never changed or deleted, so all other days keep their sums.
     """
     fact = mart.read("fact_transactions")
-    if kept is not None:
+    if not all_days:
         # A calendar has few months, so their list is small; it prunes folders.
-        months = kept.select(month_id(F.col("date_id")).alias("month_id")).distinct()
-        fact = fact.filter(F.col("month_id").isin([row.month_id for row in months.collect()]))
+        fact = fact.filter(F.col("month_id").isin(mart.noted_months()))
     daily = build_daily_revenue(fact).withColumn("updated_at", F.current_timestamp())
     mart.replace_partitions("agg_daily_revenue", daily)
+    mart.forget_months()
 
 
 def load_rejects(mart, rejects, run_date, mode="append"):

@@ -19,6 +19,10 @@ from ..schemas import TABLES
 # Large tables are laid out by month, the audit log by run.
 MONTHLY = ["fact_transactions", "agg_daily_revenue"]
 REWRITTEN = ["dim_products"]
+# Months whose facts may be newer than their sums.
+NOTED = "_noted_months"
+# Readers trust the marker of a finished write, so it must not be switched off.
+MARK = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
 
 
 @dataclass(frozen=True)
@@ -92,7 +96,7 @@ class Mart:
         versions = self._versions(table)
         number = self._version_number(versions[-1]) + 1 if versions else 1
         target = f"{self.path(table)}/version={number:09d}"
-        self._shaped(table, rows).write.mode("overwrite").parquet(target)
+        self._shaped(table, rows).write.options(**MARK).mode("overwrite").parquet(target)
         for outdated in versions[:-1]:
             where, files = self._hadoop(outdated)
             files.delete(where, True)
@@ -112,6 +116,21 @@ class Mart:
             .parquet(self.path(table))
         )
 
+    def note_months(self, rows):
+        """Remember the months of ``rows`` until their sums are written."""
+        months = rows.select(month_id(F.col("date_id")).alias("month_id")).distinct()
+        months.write.mode("append").parquet(self.path(NOTED))
+
+    def noted_months(self):
+        if not self._exists(self.path(NOTED)):
+            return []
+        noted = self.spark.read.schema("month_id int").parquet(self.path(NOTED))
+        return [row.month_id for row in noted.distinct().collect()]
+
+    def forget_months(self):
+        where, files = self._hadoop(self.path(NOTED))
+        files.delete(where, True)
+
     def _shaped(self, table, rows):
         return rows.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[table]])
 
@@ -123,7 +142,7 @@ class Mart:
             return rows.sortWithinPartitions("month_id", "date_id").write.partitionBy("month_id")
         if table == "reject_log":
             return rows.write.partitionBy("pipeline_run_date")
-        return rows.write
+        return rows.write.options(**MARK)
 
     # Files -----------------------------------------------------------------
 

@@ -41,14 +41,21 @@ def unify(frames):
 def read_extract(spark, path, encoding="ISO-8859-1", multiline=False):
     """One extract with every column as text and null tokens nulled.
 
-    Columns are matched by the file's own header. ``multiline`` allows line
-    breaks inside quotes, but then a file cannot be split between tasks.
+    The files of a folder have one header; one that differs stops the read.
+    ``multiline`` allows line breaks inside quotes, but then a file cannot be
+    split between tasks.
     """
     if path.rstrip("/").endswith(".parquet"):
         raw = spark.read.parquet(path)
     else:
         raw = spark.read.csv(
-            path, header=True, encoding=encoding, quote='"', escape='"', multiLine=multiline
+            path,
+            header=True,
+            enforceSchema=False,
+            encoding=encoding,
+            quote='"',
+            escape='"',
+            multiLine=multiline,
         )
     # Literals made once for all columns: each costs a round trip to the JVM.
     tokens = [F.lit(token) for token in NULL_TOKENS]

@@ -74,6 +74,22 @@ def test_timestamps_take_both_layouts_or_the_given_one(one):
     ]
 
 
+def test_timestamps_of_other_iso_forms(one):
+    texts = ["2009-12-01T07:45:00", "2009-12-01", "2009-12-01 07:45", "2009-12-01 07:45:00.250",
+             "2009-12-01T07:45", "2009-12-01x", "2009-12", "2009-12-01 7"]
+    day = dt.datetime(2009, 12, 1)
+    time = day.replace(hour=7, minute=45)
+    assert one(parse_timestamp, texts) == [
+        time, day, time, time.replace(microsecond=250000), time, None, None, None,
+    ]
+
+
+def test_layouts_may_begin_with_an_optional_or_quoted_part(one):
+    texts = ["12/1/2010 8:26", "8:26", "on 8:26"]
+    answer = one(lambda c: parse_timestamp(c, ["[M/d/yyyy ]H:mm", "'on 'H:mm"]), texts)
+    assert answer[0] == dt.datetime(2010, 12, 1, 8, 26) and None not in answer
+
+
 def test_calendar_is_pythons(spark):
     days = [dt.date(2010, 1, 1) + dt.timedelta(days=n) for n in range(0, 1500, 3)]
     days += [dt.date(2010, 1, 3), dt.date(2010, 1, 4), dt.date(2012, 12, 31)]

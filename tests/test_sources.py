@@ -32,6 +32,15 @@ def test_sales_file_is_latin_1_text_by_header_name(spark, tmp_path):
     assert tuple(second) == (None,) * 8 + ("sales_csv",)
 
 
+def test_part_files_with_swapped_columns_stop_the_read(spark, tmp_path):
+    swapped = ["StockCode", "InvoiceNo"]
+    rest = [name for name in SALES_HEADERS if name not in swapped]
+    write(tmp_path / "sales" / "a.csv", ",".join([*reversed(swapped), *rest]) + "\n1,A" + ",x" * 6)
+    write(tmp_path / "sales" / "b.csv", ",".join([*swapped, *rest]) + "\nB,2" + ",x" * 6)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_sales(spark, str(tmp_path / "sales")).collect()
+
+
 def test_sales_file_without_a_column_is_an_error(spark, tmp_path):
     path = write(tmp_path / "sales.csv", "InvoiceNo,StockCode\n1,A\n")
     with pytest.raises(Exception, match="description"):

@@ -203,6 +203,21 @@ STEPS["totals"] = """
     FROM daily a JOIN dim_products p ON a.product_code = p.product_code
     GROUP BY ALL"""
 
+# Four times the 75th percentiles: with n rows the rank is 3 * (n - 1) / 4, so the limit
+# is a whole number of quarters between two neighbours, and no digit is lost.
+REVIEW_LIMITS = """
+ranked AS (
+  SELECT *, 3 * (count(*) OVER () - 1) AS quarters,
+    row_number() OVER (ORDER BY gross, product_code) - 1 AS gross_rank,
+    row_number() OVER (ORDER BY rate, product_code) - 1 AS rate_rank FROM rated),
+limits AS (
+  SELECT sum(CASE WHEN gross_rank = quarters // 4 THEN 4 - quarters % 4
+                  WHEN gross_rank = quarters // 4 + 1 THEN quarters % 4 ELSE 0 END
+             * cast(gross AS decimal(28, 2))) AS gross_quarters,
+         sum(CASE WHEN rate_rank = quarters // 4 THEN 4 - quarters % 4
+                  WHEN rate_rank = quarters // 4 + 1 THEN quarters % 4 ELSE 0 END
+             * cast(rate AS decimal(28, 2))) AS rate_quarters FROM ranked)"""
+
 # A store loaded earlier with the history feed only.
 STEPS["old_kept"] = _kept("_source = 'history_csv'")
 STEPS["old_named"] = STEPS["named"].replace(
@@ -535,20 +550,26 @@ SELECT product_code, canonical_name, count(DISTINCT spelling) AS variantes, cate
 FROM routed JOIN dim_products ON stock_code = product_code
 GROUP BY product_code, canonical_name, category HAVING count(DISTINCT spelling) > 1
 ORDER BY variantes DESC, product_code LIMIT 20""",
+    ),
+    "q7_limits": _with(
+        "totals",
+        f"""
+, rated AS (SELECT *, {_percent("returned", "sold")} AS rate FROM totals WHERE sold >= 10),
+{REVIEW_LIMITS}
+SELECT cast(gross_quarters AS double) / 4 AS gross_revenue,
+  cast(rate_quarters AS double) / 4 AS tasa_devolucion_pct FROM limits""",
     ),
     "q7_review_candidates": _with(
         "totals",
         f"""
 , rated AS (SELECT *, {_percent("returned", "sold")} AS rate FROM totals WHERE sold >= 10),
-limits AS (
-  SELECT cast(quantile_cont(cast(gross AS double), 0.75) AS decimal(28, 10)) AS gross_limit,
-         cast(quantile_cont(rate, 0.75) AS decimal(28, 10)) AS rate_limit FROM rated)
+{REVIEW_LIMITS}
 SELECT product_code, canonical_name, category, {_money("gross")} AS revenue_bruto,
   {_money("back")} AS devoluciones, {_money("net")} AS revenue_neto,
   rate AS tasa_devolucion_pct, cast(sold AS bigint) AS unidades_vendidas,
   cast(returned AS bigint) AS unidades_devueltas
-FROM rated WHERE cast(gross AS decimal(28, 10)) >= (SELECT gross_limit FROM limits)
-  AND cast(rate AS decimal(28, 10)) >= (SELECT rate_limit FROM limits)
+FROM rated WHERE 4 * cast(gross AS decimal(28, 2)) >= (SELECT gross_quarters FROM limits)
+  AND 4 * cast(rate AS decimal(28, 2)) >= (SELECT rate_quarters FROM limits)
 ORDER BY back DESC, product_code LIMIT 15""",
     ),
 }
