@@ -9,8 +9,9 @@ from ledgerloom.plans.transform import transform
 from verification.compare import difference, open_database
 from verification.feed import feed, united_frames
 from verification.loaded import RUN_DATE, loaded
+from verification.oracles import ORACLES
+from verification.queries import QUERIES
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,8 @@ def database(folder):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
