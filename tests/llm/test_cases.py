@@ -207,6 +207,16 @@ def test_frequent_lines_deplete_but_copies_do_not(spark):
     assert not found[300].kept and not found[300].base_failed
 
 
+def test_notices_that_stand_together_are_all_frequent(spark):
+    notices = "our terms hold for all who read this page\na cookie is set by us\nall rights are kept by its owner"
+    own = lambda i: "\n".join(sentence(10 * i + k)[:60] for k in range(8))
+    rows = [(i, f"{notices}\n{own(i)}", "en", "h", 1) for i in range(100)]
+    rows += [(200, f"{notices}\njust two", "en", "h", 1)]
+    found = {r.doc_id: r for r in quality_rules.judged(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {found[i].words_removed for i in (*range(100), 200)} == {22}
+    assert found[7].kept and not found[200].kept
+
+
 def test_specials_and_odd_texts_encode_as_in_the_library():
     library = pytest.importorskip("tokenizers").Tokenizer.from_file(bpe.default_vocabulary())
     with open(bpe.default_vocabulary(), "rb") as f:
