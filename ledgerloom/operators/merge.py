@@ -41,6 +41,17 @@ def absent_rows(stored, new, keys, order=None, null_safe=False):
     return new.alias("new").join(known, _match(keys, null_safe), "left_anti")
 
 
+def possible_matches(stored, new, column, places=1 << 20):
+    """Rows of ``stored`` that may have a value of ``column`` in ``new``; nulls may match nulls.
+
+    Values are compared by a hash with ``places`` results, so what is broadcast
+    has at most that many numbers (16 MB), however large ``new`` is.
+    """
+    place = F.pmod(F.xxhash64(column), F.lit(places)).cast("int").alias("_place")
+    wanted = new.select(place).distinct()
+    return stored.withColumn("_place", place).join(F.broadcast(wanted), "_place", "left_semi").drop("_place")
+
+
 def _match(keys, null_safe=False):
     sides = [(F.col(f"old.{k}"), F.col(f"new.{k}")) for k in keys]
     return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in sides])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..constants import ANONYMOUS, DATE_FORMATS, SOURCE_PRIORITY
 from ..operators.catalogue import choose_names, products_from, with_canonical
 from ..operators.checks import count_failures, fact_rules
-from ..operators.merge import absent_rows, upsert, with_surrogate_key
+from ..operators.merge import absent_rows, possible_matches, upsert, with_surrogate_key
 from ..operators.metrics import run_metrics
 from ..operators.route import reject_entries, rejected
 from ..operators.star import build_customers, build_daily_revenue, build_dates, build_fact
@@ -22,6 +22,7 @@ from .transform import keep, route
 log = logging.getLogger(__name__)
 
 FACT_KEY = ["invoice_no", "product_code", "source"]
+STAGED = ["routed", "kept", "names"]
 
 
 class ConstraintError(ValueError):
@@ -34,6 +35,8 @@ class LoadConfig:
 
     ``rejects``: "append" logs rejects again on a rerun, "replace" swaps the
     run's own. ``strict``: stop before loading rows that break a constraint.
+    ``keep_staging``: leave the run's staged tables after a load that succeeded
+    (those of a load that failed always stay).
     """
 
     data_root: str
@@ -47,6 +50,7 @@ class LoadConfig:
     rejects: str = "append"
     strict: bool = True
     refresh_all_days: bool = False
+    keep_staging: bool = False
     # Options of ``read_extract``: encoding, multiline.
     reader: dict = field(default_factory=dict)
 
@@ -97,6 +101,9 @@ def load_feed(spark, feed, config, run_date):
     metrics = run_metrics(staged.routed, staged.kept).orderBy("stage", "source").collect()
     for row in metrics:
         log.info("%s %s: %d", row.stage, row.source, row.n)
+    if not config.keep_staging:
+        for name in STAGED:
+            mart.remove(config.staging(name, run_date))
     return {(row.stage, row.source): row.n for row in metrics}
 
 
@@ -183,12 +190,16 @@ def load_dates(mart, kept):
 
 
 def load_fact(mart, kept, key=FACT_KEY, null_invoice_text=None):
-    """Insert the rows whose key is not stored yet."""
-    stored = mart.read("fact_transactions")
-    new = absent_rows(stored, build_fact(kept, null_invoice_text), key, null_safe=True)
+    """Insert the rows whose key is not stored yet.
+
+    Stored facts are read in full but shuffled only where their invoice may be
+    one of the new ones.
+    """
+    fresh = build_fact(kept, null_invoice_text)
+    stored = possible_matches(mart.read("fact_transactions").select(*key), fresh, "invoice_no")
+    new = absent_rows(stored, fresh, key, null_safe=True)
     new = new.withColumn("loaded_at", F.current_timestamp())
-    highest = mart.highest("fact_transactions", "transaction_id")
-    mart.append("fact_transactions", with_surrogate_key(new, "transaction_id", highest))
+    mart.append("fact_transactions", new, number="transaction_id")
 
 
 def load_daily_revenue(mart, all_days=False):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import month_id
-from ..operators.merge import anonymous_customer
+from ..operators.merge import anonymous_customer, with_surrogate_key
 from ..schemas import TABLES
 
 # Large tables are laid out by month, the audit log by run.
@@ -84,9 +84,16 @@ class Mart:
 
     # Writing ---------------------------------------------------------------
 
-    def append(self, table, rows):
-        rows = self._shaped(table, rows)
-        self._writer(table, rows).mode("append").parquet(self.path(table))
+    def append(self, table, rows, number=None):
+        """Add rows; ``number`` names a column of ids to give them above the stored ones.
+
+        Ids are given behind the last shuffle, in the task that writes them, so
+        that a repeated task cannot give them to other rows.
+        """
+        highest = self.highest(table, number) if number else None
+        if number:
+            rows = rows.withColumn(number, F.lit(None).cast("long"))
+        self._writer(table, self._shaped(table, rows), number, highest).mode("append").parquet(self.path(table))
 
     def replace(self, table, rows):
         """Write all rows of a rewritten table as its next version.
@@ -98,8 +105,7 @@ class Mart:
         target = f"{self.path(table)}/version={number:09d}"
         self._shaped(table, rows).write.options(**MARK).mode("overwrite").parquet(target)
         for outdated in versions[:-1]:
-            where, files = self._hadoop(outdated)
-            files.delete(where, True)
+            self.remove(outdated)
 
     def replace_run(self, table, column, value, rows):
         """Overwrite the folder of one run, also when it has no rows left."""
@@ -128,18 +134,24 @@ class Mart:
         return [row.month_id for row in noted.distinct().collect()]
 
     def forget_months(self):
-        where, files = self._hadoop(self.path(NOTED))
+        self.remove(self.path(NOTED))
+
+    def remove(self, folder):
+        where, files = self._hadoop(folder)
         files.delete(where, True)
 
     def _shaped(self, table, rows):
         return rows.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[table]])
 
-    def _writer(self, table, rows):
+    def _writer(self, table, rows, number=None, highest=None):
         if table in MONTHLY:
             # Rebalancing gathers each month and splits months that are large.
             rows = rows.withColumn("month_id", month_id(F.col("date_id")))
             rows = rows.hint("rebalance", "month_id")
-            return rows.sortWithinPartitions("month_id", "date_id").write.partitionBy("month_id")
+            rows = rows.sortWithinPartitions("month_id", "date_id")
+            if number:
+                rows = with_surrogate_key(rows, number, highest)
+            return rows.write.partitionBy("month_id")
         if table == "reject_log":
             return rows.write.partitionBy("pipeline_run_date")
         return rows.write.options(**MARK)

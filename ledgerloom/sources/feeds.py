@@ -3,6 +3,7 @@
 from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import (
     FEED_COLUMNS,
@@ -38,24 +39,38 @@ def unify(frames):
     return stacked.select("*", *gaps).select(*FEED_COLUMNS, "_source")
 
 
+BROKEN = "_broken_row"
+
+
+def _refuse_surplus(raw):
+    """Stop at rows with more fields than the header; shorter rows end in nulls."""
+    bare = F.regexp_replace(BROKEN, r'(?s)"(?:[^"]|"")*"', "")
+    surplus = F.regexp_count(bare, F.lit(",")) >= len(raw.columns) - 1
+    message = F.concat(F.lit("more fields than the header has: "), F.col(BROKEN))
+    return raw.where(F.when(surplus, F.raise_error(message).cast("boolean")).otherwise(True)).drop(BROKEN)
+
+
 def read_extract(spark, path, encoding="ISO-8859-1", multiline=False):
     """One extract with every column as text and null tokens nulled.
 
-    The files of a folder have one header; one that differs stops the read.
+    The files of a folder have one header; one that differs stops the read, and
+    so does a row with more fields than the header.
     ``multiline`` allows line breaks inside quotes, but then a file cannot be
     split between tasks.
     """
     if path.rstrip("/").endswith(".parquet"):
         raw = spark.read.parquet(path)
     else:
-        raw = spark.read.csv(
-            path,
-            header=True,
-            enforceSchema=False,
-            encoding=encoding,
-            quote='"',
-            escape='"',
-            multiLine=multiline,
+        form = dict(header=True, encoding=encoding, quote='"', escape='"', multiLine=multiline)
+        header = spark.read.csv(path, **form).schema
+        raw = _refuse_surplus(
+            spark.read.csv(
+                path,
+                schema=T.StructType(header.fields).add(BROKEN, "string"),
+                columnNameOfCorruptRecord=BROKEN,
+                enforceSchema=False,
+                **form,
+            )
         )
     # Literals made once for all columns: each costs a round trip to the JVM.
     tokens = [F.lit(token) for token in NULL_TOKENS]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.__main__ import main
 from ledgerloom.constants import HISTORY_HEADERS, SALES_HEADERS
-from ledgerloom.operators import checks
+from ledgerloom.operators import checks, merge
 from ledgerloom.plans import daily
 from ledgerloom.plans.business import QUESTIONS
 from ledgerloom.plans.daily import ConstraintError, LoadConfig, run_daily_load
@@ -186,6 +186,27 @@ def test_sums_of_a_lost_load_are_made_up_for(spark, tmp_path, monkeypatch):
     assert facts == sums and mart.noted_months() == []
 
 
+def test_stored_facts_are_cut_before_they_are_shuffled(spark):
+    stored = spark.range(10_000).select(F.col("id").cast("string").alias("invoice_no"))
+    stored = stored.unionByName(spark.createDataFrame([(None,)], "invoice_no string"))
+    new = spark.createDataFrame([("7",), (None,), ("new",), ("7",)], "invoice_no string")
+    found = [row.invoice_no for row in merge.possible_matches(stored, new, "invoice_no").collect()]
+    assert {"7", None} <= set(found) and len(found) < 200
+    plan = merge.possible_matches(stored, new, "invoice_no")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "broadcast" in plan
+
+
+def test_ids_are_unique_over_loads_and_staging_is_removed(spark, tmp_path):
+    config = LoadConfig(write_inputs(tmp_path / "in"), str(tmp_path / "mart"))
+    run_daily_load(spark, config, "2024-01-01")
+    write_inputs(tmp_path / "in", sales=[SALES[0].replace("1,", "77,", 1)])
+    run_daily_load(spark, config, "2024-01-02")
+    facts = Mart(spark, config.mart_root).read("fact_transactions")
+    ids = [row.transaction_id for row in facts.collect()]
+    assert None not in ids and len(ids) == len(set(ids)) and facts.where("invoice_no = '77'").count() == 1
+    assert not list((tmp_path / "mart" / "_staging").rglob("*.parquet"))
+
+
 def test_a_key_narrower_than_a_row_is_refused():
     with pytest.raises(ValueError, match="fact_key"):
         LoadConfig("in", "mart", fact_key=["invoice_no"])

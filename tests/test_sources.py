@@ -83,3 +83,13 @@ def test_unify_adds_columns_no_source_has(spark):
     assert rows.columns == [*FEED_COLUMNS, "_source"]
     sales = tag_sales(spark.createDataFrame([tuple("abcdefgh")], list(SALES_HEADERS)))
     assert unify([sales, sheet]).count() == 2
+
+
+def test_rows_longer_than_the_header_stop_the_read(spark, tmp_path):
+    short = '1,A,"pen, ""red"", big"\n'
+    rows = read_sales(spark, write(tmp_path / "short.csv", f"{SALES}\n{short}"))
+    assert rows.first()[:4] == ("1", "A", 'pen, "red", big', None)
+    long = "1,A,pen,2,12/1/2010 8:26,1.5,7,Spain,\n"
+    rows = read_sales(spark, write(tmp_path / "long.csv", f"{SALES}\n{long}"))
+    with pytest.raises(Exception, match="more fields than the header"):
+        rows.select("invoice_no").collect()

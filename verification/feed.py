@@ -17,26 +17,20 @@ SHEET_BREAK = "1997-01-01"
 SUFFIXES = [" card holder", " led lamp", " scarf", " puzzle", " vase", ""]
 
 
-def _lines(spark, folder, columns):
-    """Order lines joined with just the tables ``columns`` need.
-
-    Every line has its order, customer, nation and part (FIXTURES.md), so a
-    join that supplies no wanted column would neither drop nor add rows.
-    """
+def _lines(spark, folder):
+    """Order lines joined with all the tables the feed is made from."""
     configure(spark)
 
     def table(name):
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
-    rows = table("lineitem")
-    if {"customer_id", "country"} & set(columns):
-        rows = rows.join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    if "country" in columns:
-        homes = table("customer").join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        rows = rows.join(homes, F.col("o_custkey") == F.col("c_custkey"))
-    if {"description", "unit_price"} & set(columns):
-        rows = rows.join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
-    return rows
+    homes = table("customer").join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return (
+        table("lineitem")
+        .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(homes, F.col("o_custkey") == F.col("c_custkey"))
+        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    )
 
 
 def _choose(number, options):
@@ -117,13 +111,13 @@ def feed(spark, folder, columns=FEED_COLUMNS):
         )
     )
     texts = _texts(F.col("_source") == SALES_SOURCE)
-    tagged = _lines(spark, folder, columns).withColumn("_source", F.explode(tags))
+    tagged = _lines(spark, folder).withColumn("_source", F.explode(tags))
     return tagged.select(*[texts[c].alias(c) for c in FEED_COLUMNS if c in columns], "_source")
 
 
 def raw_frames(spark, folder):
     """(sales, [history sheet, history sheet]) with the headers of the extracts."""
-    lines = _lines(spark, folder, FEED_COLUMNS)
+    lines = _lines(spark, folder)
     shipped = F.col("l_shipdate")
     start, end, middle = [
         F.lit(day).cast("timestamp_ntz") for day in (SALES_FROM, HISTORY_BEFORE, SHEET_BREAK)

@@ -27,7 +27,7 @@ class Load:
 def loaded(spark, folder):
     session = spark.sparkContext.applicationId
     if (session, folder) not in _loads:
-        config = LoadConfig(data_root=folder, mart_root=scratch_folder(spark))
+        config = LoadConfig(data_root=folder, mart_root=scratch_folder(spark), keep_staging=True)
         load_feed(spark, feed(spark, folder), config, RUN_DATE)
         staged = [
             spark.read.parquet(config.staging(name, RUN_DATE))
