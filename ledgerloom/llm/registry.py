@@ -3,7 +3,9 @@
 import corpus_pipeline
 from ledgerloom.llm import (
     bpe,
+    hard_negatives,
     html_crf,
+    language,
     licences,
     merkle,
     mixing,
@@ -12,6 +14,7 @@ from ledgerloom.llm import (
     sharding,
     simhash,
     urls,
+    whitening,
 )
 
 QUERIES = {
@@ -27,6 +30,9 @@ QUERIES = {
         urls.op8_judge_urls,
         sharding.op9_pack_shards,
         licences.op10_license_notices,
+        hard_negatives.op11_hard_negatives,
+        language.op12_languages,
+        whitening.op13_whitened_embeddings,
     )
 } | {"pipeline": corpus_pipeline.run}
 
@@ -34,4 +40,5 @@ ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,
     "op5_quality_rules": quality_rules.OP5_SQL,
     "op8_judge_urls": urls.OP8_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
 } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

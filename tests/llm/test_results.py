@@ -34,7 +34,7 @@ def result(spark, folder_, name, index="doc_id"):
 @pytest.mark.parametrize("name", sorted(set(registry.ORACLES) - {"pipeline"}))
 def test_sql_counterparts(spark, folder_, name):
     db = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder_}/{table}.parquet'")
     ours = registry.QUERIES[name](spark, folder_).toPandas()
     theirs = db.sql(registry.ORACLES[name]).df()[list(ours.columns)]
