@@ -142,8 +142,17 @@ def count_above(matrix, shift) -> int:
     return positive
 
 
+def rounding(matrix):
+    """A bound for the error of an eigenvalue or residual that rounding alone explains."""
+    return 4 * len(matrix) * np.finfo(float).eps * np.abs(matrix).sum(axis=1).max()
+
+
 def quotient_iteration(matrix, vector, found, low, high):
-    """Rayleigh quotient iteration orthogonal to ``found``; None if it leaves [low, high]."""
+    """Rayleigh quotient iteration orthogonal to ``found``; None if it leaves [low, high].
+
+    The first steps keep the interval's middle as shift, so that a start almost
+    orthogonal to the wanted vector is turned towards it.
+    """
 
     def cleaned(v):
         for _ in range(2):
@@ -151,29 +160,30 @@ def quotient_iteration(matrix, vector, found, low, high):
         return v / np.linalg.norm(v)
 
     vector = cleaned(vector)
-    eye, scale = np.eye(len(matrix)), np.abs(matrix).sum(axis=1).max()
-    value = (low + high) / 2  # the first step is one of inverse iteration
-    for step in range(30):
+    eye, error = np.eye(len(matrix)), rounding(matrix)
+    shift = (low + high) / 2
+    for step in range(40):
         try:
-            solved = np.linalg.solve(matrix - value * eye, vector)
+            solved = np.linalg.solve(matrix - shift * eye, vector)
         except np.linalg.LinAlgError:  # the shift is an eigenvalue: move it by rounding
-            solved = np.linalg.solve(matrix - (value + 4 * np.finfo(float).eps * scale) * eye, vector)
+            solved = np.linalg.solve(matrix - (shift + error / 4) * eye, vector)
         vector = cleaned(solved)
         value = vector @ matrix @ vector
-        slack = 8 * np.finfo(float).eps * scale
-        if step and not low - slack <= value <= high + slack:
+        inside = low - error <= value <= high + error
+        if step > 3 and not inside:
             return None
-        residual = np.linalg.norm(matrix @ vector - value * vector)
-        if residual <= 4 * np.finfo(float).eps * scale:
+        if inside and np.linalg.norm(matrix @ vector - value * vector) <= error:
             return value, vector
-    return value, vector
+        if step >= 3:
+            shift = value
+    return None
 
 
 def leading_pairs(matrix, wanted):
     """The ``wanted`` largest eigenvalues, falling, with unit eigenvectors, certified by counts."""
     n = len(matrix)
     scale = np.abs(matrix).sum(axis=1).max()
-    narrow = 16 * n * np.finfo(float).eps * scale
+    narrow = 4 * rounding(matrix)
     values, vectors = [], np.zeros((n, 0))
     start = np.random.default_rng(0).standard_normal((n, wanted))
     for k in range(1, wanted + 1):
