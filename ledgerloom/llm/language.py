@@ -186,13 +186,16 @@ def sample(docs: DataFrame, size=SAMPLE) -> DataFrame:
     Texts are told apart by a digest; those below a digest that leaves about
     twice as many as wanted are taken whole, and of them the lowest.
     """
-    # Two thirds of a long suffice for a digest that orders; the language is its key.
     keyed = docs.select("lang", "text", F.xxhash64("text").alias("digest"))
     counts = keyed.groupBy("lang").agg(F.approx_count_distinct("digest", 0.02).alias("texts"))
+    # One row per language, as the model has: their limits are literals, so no text is moved for a join.
+    found = {row.lang: row.texts for row in counts.collect()}
+    if not found:
+        return docs.limit(0).withColumn("digest", F.lit(0).cast("long"))
     lowest = float(np.iinfo(np.int64).min)
-    limit = F.lit(lowest) + F.least(F.lit(1.0), F.lit(2.0 * size + 50) / F.col("texts")) * F.lit(2.0**64)
-    counts = counts.select("lang", limit.alias("limit"))
-    few = keyed.join(counts, "lang").where(F.col("digest").cast("double") <= F.col("limit"))
+    limits = {lang: lowest + min(1.0, (2.0 * size + 50) / n) * 2.0**64 for lang, n in found.items() if n}
+    limit = F.try_element_at(F.create_map(*[F.lit(v) for pair in limits.items() for v in pair]), F.col("lang"))
+    few = keyed.where(F.col("digest").cast("double") <= limit)
     few = few.groupBy("lang", "digest").agg(F.first("text").alias("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("digest"))
     return few.withColumn("rank", rank).where(F.col("rank") <= size).select("lang", "text", "digest")
