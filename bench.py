@@ -59,7 +59,8 @@ def main():
     write_extracts(spark, extracts)
 
     def config():
-        return LoadConfig(data_root=extracts, mart_root=scratch_folder(spark))
+        # The staged rows stay: the question about spellings reads them.
+        return LoadConfig(data_root=extracts, mart_root=scratch_folder(spark), keep_staging=True)
 
     timings = {}
     run_daily_load(spark, config(), RUN_DATE)

@@ -29,6 +29,7 @@ def cleanse(feed, date_formats=DATE_FORMATS):
         parse_number(F.col("unit_price")).alias("unit_price"),
     )
     kept = ["invoice_no", "description", "customer_id", "country", "_source"]
+    kept += [c for c in ["_sheet"] if c in feed.columns]
     return normalise_code(feed.withColumn("_raw", F.struct(*OVERWRITTEN))).select(
         *kept, "stock_code", "_raw", F.inline(F.array(parsed))
     )

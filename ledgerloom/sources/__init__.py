@@ -1,4 +1,5 @@
 from .feeds import (
+    overlong_rows,
     read_extract,
     read_history,
     read_sales,
@@ -8,6 +9,7 @@ from .feeds import (
 )
 
 __all__ = [
+    "overlong_rows",
     "read_extract",
     "read_history",
     "read_sales",

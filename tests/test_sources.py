@@ -1,7 +1,7 @@
 import pytest
 
 from ledgerloom.constants import FEED_COLUMNS, HISTORY_HEADERS, SALES_HEADERS
-from ledgerloom.sources import read_history, read_sales, tag_history_sheet, tag_sales, unify
+from ledgerloom.sources import overlong_rows, read_history, read_sales, tag_history_sheet, tag_sales, unify
 
 
 def write(path, text, encoding="latin-1"):
@@ -93,3 +93,74 @@ def test_rows_longer_than_the_header_stop_the_read(spark, tmp_path):
     rows = read_sales(spark, write(tmp_path / "long.csv", f"{SALES}\n{long}"))
     with pytest.raises(Exception, match="more fields than the header"):
         rows.select("invoice_no").collect()
+
+
+VALID = "1,A,pen,2,12/1/2010 8:26,1.5,7,Spain"
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+@pytest.mark.parametrize(
+    "line",
+    [VALID + ",", VALID + ",x", '1,A,"a, ""b"", c",2,d,1,7,Spain,"x,y"', '1,A,5" pipe,2,d,1,7,Spain,x', ",,,,,,,,"],
+)
+def test_every_plan_refuses_an_overlong_row(spark, tmp_path, line, multiline):
+    path = write(tmp_path / "s.csv", f"{SALES}\n{VALID}\n{line}\n")
+    rows = read_sales(spark, path, multiline=multiline)
+    for plan in (
+        lambda: rows.collect(),
+        lambda: rows.count(),
+        lambda: rows.select("invoice_no").collect(),
+        lambda: rows.groupBy("country").count().collect(),
+        lambda: rows.filter("quantity = '77'").first(),
+        lambda: rows.select(rows.unit_price).limit(5).collect(),
+    ):
+        with pytest.raises(Exception, match="more fields than the header"):
+            plan()
+    (found,) = overlong_rows(spark, path).collect()
+    assert (found.line, found.expected) == (line, 8) and found.fields in (9, 10)
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_every_plan_reads_valid_and_short_rows(spark, tmp_path, multiline):
+    lines = [VALID, '1,A,"a, ""b"", c",2,d,1,7,Spain', "2,B", '3,"",x,,,,,', '4,A,5" pipe,2,d,1,7,Sp"ain', '5,"""",x']
+    path = write(tmp_path / "s.csv", "\n".join([SALES, *lines]))
+    rows = read_sales(spark, path, multiline=multiline)
+    assert rows.count() == 6 and rows.first().invoice_no == "1"
+    assert sorted(r.invoice_no for r in rows.select("invoice_no").collect()) == ["1", "1", "2", "3", "4", "5"]
+    found = {r.invoice_no: r for r in rows.collect()}
+    assert found["1"].description == 'a, "b", c' and found["2"].description is None
+    assert found["3"].stock_code is None and found["4"].description == '5" pipe' and found["4"].country == 'Sp"ain'
+    assert found["5"].stock_code == '"'
+    assert overlong_rows(spark, path).count() == 0
+
+
+def test_one_long_quoted_field_does_not_overflow_a_stack(spark, tmp_path):
+    path = write(tmp_path / "s.csv", f'{SALES}\n1,A,"{"a, " * 200_000}{chr(34) * 2000}",2,d,1,7,Spain\n')
+    (row,) = read_sales(spark, path).collect()
+    assert len(row.description) == 601_000 and row.country == "Spain"
+
+
+def test_a_header_below_the_first_line_is_a_row(spark, tmp_path):
+    path = write(tmp_path / "s.csv", f"{SALES}\n{VALID}\n{SALES}\n")
+    assert read_sales(spark, path).count() == 2
+    with pytest.raises(ValueError, match="no header"):
+        read_sales(spark, write(tmp_path / "empty.csv", ""))
+    assert read_sales(spark, write(tmp_path / "bare.csv", SALES)).count() == 0
+
+
+def test_many_sheets_are_one_scan_per_header(spark, tmp_path):
+    folder = tmp_path / "history á+ b"
+    for i in range(300):
+        write(folder / f"sheet {i:03d}+é.csv", f"{SHEET}\n" + f"{i},A,pen,2,2009-12-01 07:45:00,1.5,7,X\n" * (i % 3))
+    for i in range(200):
+        write(folder / f"dir{i:03d}" / "part-0.csv", f"Invoice,Price,Note\nn{i},3.5,hello\n")
+        write(folder / f"dir{i:03d}" / "_SUCCESS", "")
+    rows = read_history(spark, str(folder), name_sheets=True)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan csv") == 2
+    counts = {r._sheet: r["count"] for r in rows.groupBy("_sheet").count().collect()}
+    expected = {f"sheet {i:03d}+é.csv": i % 3 for i in range(300) if i % 3} | {f"dir{i:03d}": 1 for i in range(200)}
+    assert counts == expected
+    assert rows.columns == [*FEED_COLUMNS, "_source", "_sheet"]
+    listed = read_history(spark, [str(folder / "dir007"), str(folder / "sheet 001+é.csv")], name_sheets=True)
+    assert sorted(tuple(r)[-1] for r in listed.collect()) == ["dir007", "sheet 001+é.csv"]
