@@ -45,13 +45,50 @@ def possible_matches(stored, new, column, places=1 << 20):
     """Rows of ``stored`` that may have a value of ``column`` in ``new``; nulls may match nulls.
 
     Values are compared by a hash with ``places`` results, so what is broadcast
-    has at most that many numbers (16 MB), however large ``new`` is.
+    has at most that many numbers (16 MB), however large ``new`` is. For stored
+    rows that are not bucketed by the key; with more new values than places it
+    keeps nearly all of them.
     """
     place = F.pmod(F.xxhash64(column), F.lit(places)).cast("int").alias("_place")
     wanted = new.select(place).distinct()
     return stored.withColumn("_place", place).join(F.broadcast(wanted), "_place", "left_semi").drop("_place")
 
 
+def key_names(keys):
+    return [f"key_{name}" for name in keys]
+
+
+def key_columns(keys):
+    """Each key as a text that is never null and that only equal keys share.
+
+    Null keys then meet like others, and plain equality lets a join use how the
+    stored keys are bucketed.
+    """
+    values = [F.col(name).cast("string") for name in keys]
+    return [
+        F.when(value.isNull(), "n").otherwise(F.concat(F.lit("v"), value)).alias(alias)
+        for value, alias in zip(values, key_names(keys))
+    ]
+
+
+def in_range(stored, new, column):
+    """The rows of ``stored`` whose ``column`` is within the range it has in ``new``.
+
+    The two ends enter as literals, so the scan of a table sorted by ``column``
+    skips whole files and row groups.
+    """
+    low, high = new.agg(F.min(column), F.max(column)).first()
+    return stored.filter(F.col(column).between(F.lit(low), F.lit(high)))
+
+
+def unknown_keys(stored_keys, new, keys):
+    """Rows of ``new``, with their key columns, whose key is not among ``stored_keys``.
+
+    Only ``new`` is moved where the stored keys are bucketed by all key columns.
+    """
+    return new.select("*", *key_columns(keys)).join(stored_keys, key_names(keys), "left_anti")
+
+
 def _match(keys, null_safe=False):
     sides = [(F.col(f"old.{k}"), F.col(f"new.{k}")) for k in keys]
     return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in sides])

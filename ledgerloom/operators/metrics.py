@@ -39,3 +39,11 @@ def run_metrics(routed, kept):
         F.array(entry(F.lower("transaction_type"), n), entry(F.lit("duplicate"), -n)),
     )
     return routing.unionByName(outcome).groupBy("stage", "source").agg(F.sum("n").alias("n"))
+
+
+def sheet_counts(routed):
+    """(sheet, n): rows read from each sheet of the history; none where sheets are not named."""
+    if "_sheet" not in routed.columns:
+        return routed.limit(0).select(F.lit("").alias("sheet"), F.lit(0).cast("long").alias("n"))
+    named = routed.filter(F.col("_sheet").isNotNull())
+    return named.groupBy(F.col("_sheet").alias("sheet")).agg(F.count("*").alias("n")).orderBy("sheet")

@@ -98,3 +98,19 @@ def build_daily_revenue(fact):
         total(sale, quantity).cast("int").alias("total_sales_qty"),
         total(back, F.abs(quantity)).cast("int").alias("total_return_qty"),
     )
+
+
+SUMS = ["gross_revenue", "return_amount", "net_revenue", "total_sales_qty", "total_return_qty"]
+
+
+def merge_daily_revenue(stored, delta):
+    """Stored daily sums plus those of new facts; both sides have one row per day and product.
+
+    Sums add up, so facts that are summed already need not be read again.
+    """
+    kinds = dict(delta.dtypes)
+    both = stored.select(*delta.columns).unionByName(delta)
+    newest = [F.max("updated_at").alias("updated_at")] if "updated_at" in delta.columns else []
+    return both.groupBy("date_id", "product_code").agg(
+        *[F.sum(name).cast(kinds[name]).alias(name) for name in SUMS], *newest
+    )

@@ -8,12 +8,28 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..constants import ANONYMOUS, DATE_FORMATS, SOURCE_PRIORITY
-from ..operators.catalogue import choose_names, products_from, with_canonical
-from ..operators.checks import count_failures, fact_rules
-from ..operators.merge import absent_rows, possible_matches, upsert, with_surrogate_key
-from ..operators.metrics import run_metrics
+from ..functions import month_id
+from ..operators.catalogue import category_histogram, choose_names, products_from, with_canonical
+from ..operators.checks import count_failures, fact_rules, key_violations
+from ..operators.merge import (
+    absent_rows,
+    in_range,
+    key_columns,
+    key_names,
+    unknown_keys,
+    upsert,
+    with_surrogate_key,
+)
+from ..operators.metrics import run_metrics, sheet_counts
 from ..operators.route import reject_entries, rejected
-from ..operators.star import build_customers, build_daily_revenue, build_dates, build_fact
+from ..operators.star import (
+    build_customers,
+    build_daily_revenue,
+    build_dates,
+    build_fact,
+    merge_daily_revenue,
+)
+from ..schemas import FOREIGN_KEYS, UNIQUE_KEYS
 from ..session import configure
 from ..sinks import Mart
 from ..sources import read_history, read_sales, unify
@@ -22,7 +38,7 @@ from .transform import keep, route
 log = logging.getLogger(__name__)
 
 FACT_KEY = ["invoice_no", "product_code", "source"]
-STAGED = ["routed", "kept", "names"]
+STAGED = ["routed", "kept", "names", "new_facts"]
 
 
 class ConstraintError(ValueError):
@@ -51,6 +67,8 @@ class LoadConfig:
     strict: bool = True
     refresh_all_days: bool = False
     keep_staging: bool = False
+    # Files over which the keys of all facts are spread; fixed once a store has been loaded.
+    key_buckets: int = 64
     # Options of ``read_extract``: encoding, multiline.
     reader: dict = field(default_factory=dict)
 
@@ -68,7 +86,7 @@ class LoadConfig:
 def run_daily_load(spark, config, run_date):
     """Load one day's extracts and return the run's row counts."""
     sales = read_sales(spark, config.input(config.sales_name), **config.reader)
-    history = read_history(spark, config.input(config.history_name), **config.reader)
+    history = read_history(spark, config.input(config.history_name), name_sheets=True, **config.reader)
     return load_feed(spark, unify([sales, history]), config, run_date)
 
 
@@ -79,34 +97,59 @@ def load_feed(spark, feed, config, run_date):
     the lineage: text is read and parsed once, rows are deduplicated once and
     names chosen once, and everything else reads those tables. What does not
     depend on each other is loaded at the same time; facts follow their
-    dimensions.
+    dimensions. Facts, their keys and the daily sums become visible together,
+    at the end: a load that is lost before that adds nothing to them, and its
+    repetition starts from the same stored rows.
+
+    The counts are also kept in the store (``Mart.run_log``), with rows per
+    history sheet, rows inserted per table and products per category.
     """
     configure(spark)
-    mart = Mart(spark, config.mart_root).create()
+    mart = Mart(spark, config.mart_root, config.key_buckets).create()
+    number = mart.begin_load()
     staged = stage(feed, config, run_date)
     rejects = with_canonical(rejected(staged.routed), staged.names.drop("accepted"))
     with ThreadPoolExecutor(4) as pool:
-        jobs = [
-            pool.submit(load_products, mart, staged.names),
-            pool.submit(load_customers, mart, staged.kept),
-            pool.submit(load_dates, mart, staged.kept),
-            pool.submit(load_rejects, mart, rejects, run_date, config.rejects),
-        ]
-        for job in jobs:
-            job.result()
-    mart.note_months(staged.kept)
-    load_fact(mart, staged.kept, config.fact_key, config.null_invoice_text)
-    load_daily_revenue(mart, config.refresh_all_days)
+        jobs = {
+            "dim_products": pool.submit(load_products, mart, staged.names),
+            "dim_customers": pool.submit(load_customers, mart, staged.kept),
+            "dim_date": pool.submit(load_dates, mart, staged.kept),
+            "reject_log": pool.submit(load_rejects, mart, rejects, run_date, config.rejects),
+        }
+        written = {table: job.result() for table, job in jobs.items()}
+    new = new_facts(mart, staged.kept, config, run_date)
+    written["fact_transactions"], months = new.count(), []
+    if written["fact_transactions"]:
+        check_keys(mart, new, config.strict)
+        load_fact(mart, new, number, config.fact_key)
+    if written["fact_transactions"] or config.refresh_all_days:
+        months = load_daily_revenue(mart, new, number, config.refresh_all_days)
+    mart.publish_load(number)
+    written["agg_daily_revenue"] = mart.daily_sums(months).count()
 
     metrics = run_metrics(staged.routed, staged.kept).orderBy("stage", "source").collect()
     for row in metrics:
         log.info("%s %s: %d", row.stage, row.source, row.n)
+    report(mart, staged, metrics, written, run_date, number)
     if not config.keep_staging:
         for name in STAGED:
             mart.remove(config.staging(name, run_date))
     return {(row.stage, row.source): row.n for row in metrics}
 
 
+def report(mart, staged, metrics, written, run_date, number):
+    """Log and keep what a run did: (stage, name, n) for stages, sheets, tables and categories."""
+    entries = [(row.stage, row.source, row.n) for row in metrics]
+    entries += [("sheet", row.sheet, row.n) for row in sheet_counts(staged.routed).collect()]
+    entries += [("written", table, n) for table, n in sorted(written.items())]
+    products = mart.read("dim_products").select("product_code", "category")
+    categories = category_histogram(staged.kept, products).orderBy("transaction_type", "category")
+    entries += [(f"category: {r.transaction_type.lower()}", r.category, r.n) for r in categories.collect()]
+    for stage, name, n in entries[len(metrics) :]:
+        log.info("%s %s: %d", stage, name, n)
+    mart.log_run(entries, run_date, number)
+
+
 @dataclass(frozen=True)
 class Staged:
     """The tables a load works from."""
@@ -172,6 +215,7 @@ def load_products(mart, names):
         update=["canonical_name", "category", "updated_at"],
     )
     mart.replace("dim_products", merged)
+    return names.filter("accepted").count()
 
 
 def load_customers(mart, kept):
@@ -182,40 +226,72 @@ def load_customers(mart, kept):
     """
     fresh = build_customers(kept).filter(F.col("customer_id") != ANONYMOUS)
     new = absent_rows(mart.read("dim_customers"), fresh, ["customer_id"])
-    mart.append("dim_customers", new.withColumn("created_at", F.current_timestamp()))
+    return _added(mart, "dim_customers", new.withColumn("created_at", F.current_timestamp()))
 
 
 def load_dates(mart, kept):
-    mart.append("dim_date", absent_rows(mart.read("dim_date"), build_dates(kept), ["date_id"]))
+    new = absent_rows(mart.read("dim_date"), build_dates(kept), ["date_id"])
+    return _added(mart, "dim_date", new)
+
+
+def _added(mart, table, rows):
+    """Append and return how many rows that were; the counts come from file footers."""
+    before = mart.read(table).count()
+    mart.append(table, rows)
+    return mart.read(table).count() - before
 
 
-def load_fact(mart, kept, key=FACT_KEY, null_invoice_text=None):
-    """Insert the rows whose key is not stored yet.
+def new_facts(mart, kept, config, run_date):
+    """The facts whose key is not stored yet, staged.
 
-    Stored facts are read in full but shuffled only where their invoice may be
-    one of the new ones.
+    The stored keys are bucketed, so only the new rows are moved to meet them,
+    and the range of the new invoices lets the scan skip the files of others.
     """
-    fresh = build_fact(kept, null_invoice_text)
-    stored = possible_matches(mart.read("fact_transactions").select(*key), fresh, "invoice_no")
-    new = absent_rows(stored, fresh, key, null_safe=True)
-    new = new.withColumn("loaded_at", F.current_timestamp())
-    mart.append("fact_transactions", new, number="transaction_id")
+    key = config.fact_key
+    fresh = build_fact(kept, config.null_invoice_text)
+    first = key_names(key)[0]
+    stored = in_range(mart.stored_keys(key_names(key)), fresh.select(key_columns(key)[0]), first)
+    new = unknown_keys(stored, fresh, key).withColumn("loaded_at", F.current_timestamp())
+    return _staged(new, config.staging("new_facts", run_date))
+
+
+def check_keys(mart, new, strict=True):
+    """Refuse new facts whose key is there twice or that have no parent row, before any is written."""
+    parents = {
+        column: (mart.read(table), UNIQUE_KEYS[table][0][0])
+        for column, table in FOREIGN_KEYS["fact_transactions"].items()
+    }
+    unique = UNIQUE_KEYS["fact_transactions"][1]
+    found = key_violations(new, unique, parents).collect()  # one row per rule
+    _report({row.rule: row.rows for row in found}, strict)
+
+
+def load_fact(mart, new, number, key=FACT_KEY):
+    """Write new facts and their keys as part of a load."""
+    mart.add_facts(new, number)
+    mart.add_keys(new, key_names(key), number)
 
 
-def load_daily_revenue(mart, all_days=False):
-    """Recompute the daily sums of the noted months from all their facts.
+def load_daily_revenue(mart, new, number, all_days=False):
+    """Add the sums of the new facts to those of their months, as part of a load.
 
-    Months are noted before facts are written and forgotten after their sums:
-    those of a load that was lost in between are recomputed by the next one.
-    Facts are never changed or deleted, so all other days keep their sums.
+    Only the sums of touched months are read, and no stored fact. ``all_days``
+    sums all facts again. Returns the touched months.
     """
-    fact = mart.read("fact_transactions")
+    now = F.current_timestamp().alias("updated_at")
+    daily = build_daily_revenue(new)
+    if all_days:
+        # Not published yet, so the stored facts are those of earlier loads.
+        stored = build_daily_revenue(mart.read("fact_transactions"))
+        daily = merge_daily_revenue(stored, daily).select("*", now)
+    # A calendar has few months, so their list is small.
+    touched = daily.select(month_id(F.col("date_id")).alias("month")).distinct().collect()
+    months = sorted(row.month for row in touched)
     if not all_days:
-        # A calendar has few months, so their list is small; it prunes folders.
-        fact = fact.filter(F.col("month_id").isin(mart.noted_months()))
-    daily = build_daily_revenue(fact).withColumn("updated_at", F.current_timestamp())
-    mart.replace_partitions("agg_daily_revenue", daily)
-    mart.forget_months()
+        daily = merge_daily_revenue(mart.daily_sums(months), daily.select("*", now))
+    if months:
+        mart.write_sums(daily, number)
+    return months
 
 
 def load_rejects(mart, rejects, run_date, mode="append"):
@@ -229,3 +305,4 @@ def load_rejects(mart, rejects, run_date, mode="append"):
         mart.replace_run("reject_log", "pipeline_run_date", run_date, entries)
     else:
         raise ValueError(f"rejects must be 'append' or 'replace', not {mode!r}")
+    return rejects.count()

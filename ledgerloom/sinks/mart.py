@@ -1,11 +1,17 @@
 """The star schema as folders of Parquet files.
 
-Rows of append-only tables are added to one folder. Tables whose rows change
-are rewritten as a new version beside the one being read; readers take the
-newest version that Spark has marked complete, so a lost job changes nothing.
-One writer at a time.
+Facts are added in one folder per load, and daily sums are kept per month, one
+version for each load that changed the month. Readers take published loads only
+(see ``ledger``), so facts, their keys and their sums change together. The keys
+of all facts lie in a table of their own, bucketed and sorted by key, so that a
+load finds stored keys without moving them.
+
+Customers, dates and rejects are added to one folder. Products are rewritten as
+a new version beside the one being read; readers take the newest version that
+Spark has marked complete. One writer at a time.
 """
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +21,13 @@ from pyspark.sql import types as T
 from ..functions import month_id
 from ..operators.merge import anonymous_customer, with_surrogate_key
 from ..schemas import TABLES
+from .ledger import Files, Ledger
 
-# Large tables are laid out by month, the audit log by run.
-MONTHLY = ["fact_transactions", "agg_daily_revenue"]
+# Large tables are laid out by load and month, or by month and load; the audit log by run.
+FACTS, DAILY = "fact_transactions", "agg_daily_revenue"
+MONTHLY = [FACTS, DAILY]
 REWRITTEN = ["dim_products"]
-# Months whose facts may be newer than their sums.
-NOTED = "_noted_months"
+KEYS = "_fact_keys"
 # Readers trust the marker of a finished write, so it must not be switched off.
 MARK = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
 
@@ -29,10 +36,19 @@ MARK = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
 class Mart:
     spark: SparkSession
     root: str
+    buckets: int = 64
 
     def path(self, table):
         return f"{self.root.rstrip('/')}/{table}"
 
+    @property
+    def files(self):
+        return Files(self.spark)
+
+    @property
+    def ledger(self):
+        return Ledger(self.files, self.path("_loads"))
+
     def create(self):
         """Start an empty store with the anonymous customer; harmless later."""
         if not self._exists(f"{self.path('dim_customers')}/_SUCCESS"):
@@ -44,21 +60,52 @@ class Mart:
 
     def read(self, table) -> DataFrame:
         """The stored rows; an empty frame while nothing is stored."""
+        if table == DAILY:
+            return self._read_folders(table, self._month_versions().values()).drop("load_no")
         folder = self.path(table)
         if table in REWRITTEN:
             folder = max(self._versions(table), default=None)
         if folder is None or not self._exists(folder):
-            # A filter the optimizer sees through: joins with this cost nothing.
-            columns = self._stored_schema(table)
-            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in columns]
-            return self.spark.range(1).select(*nothing).filter(F.lit(False))
-        return self.spark.read.schema(self._stored_schema(table)).parquet(folder)
+            return self._nothing(self._stored_schema(table)).drop("load_no")
+        rows = self.spark.read.schema(self._stored_schema(table)).parquet(folder)
+        if table == FACTS:
+            rows = rows.filter(F.col("load_no") <= self.ledger.published()).drop("load_no")
+        return rows
+
+    def _nothing(self, columns):
+        """No rows, behind a filter the optimizer sees through: joins with this cost nothing."""
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in columns]
+        return self.spark.range(1).select(*nothing).filter(F.lit(False))
+
+    def _read_folders(self, table, folders):
+        """Rows of some folders below a table's own, with the columns the folder names give."""
+        if not folders:
+            return self._nothing(self._stored_schema(table))
+        reader = self.spark.read.schema(self._stored_schema(table))
+        return reader.option("basePath", self.path(table)).parquet(*folders)
 
     @staticmethod
     def _stored_schema(table):
-        """The table's columns and, if it is laid out by month, the month."""
-        month = [T.StructField("month_id", T.IntegerType())] if table in MONTHLY else []
-        return T.StructType(TABLES[table].fields + month)
+        """The table's columns and, if it is laid out by month, the month and the load."""
+        extra = ["month_id", "load_no"] if table in MONTHLY else []
+        return T.StructType(TABLES[table].fields + [T.StructField(c, T.IntegerType()) for c in extra])
+
+    def _month_versions(self):
+        """Folder of the newest published version of each month's sums."""
+        last, found = self.ledger.published(), {}
+        for month in self.files.names(self.path(DAILY)):
+            if month.startswith("month_id="):
+                loads = [int(name.split("=")[1]) for name in self.files.names(f"{self.path(DAILY)}/{month}")]
+                newest = max((n for n in loads if n <= last), default=None)
+                if newest is not None:
+                    found[int(month.split("=")[1])] = f"{self.path(DAILY)}/{month}/load_no={newest}"
+        return found
+
+    def daily_sums(self, months):
+        """Stored sums of some months; the others are not opened."""
+        versions = self._month_versions()
+        chosen = [versions[m] for m in months if m in versions]
+        return self._read_folders(DAILY, chosen).drop("load_no", "month_id")
 
     def tables(self):
         return {name: self.read(name) for name in TABLES}
@@ -112,38 +159,101 @@ class Mart:
         folder = f"{self.path(table)}/{column}={value}"
         self._shaped(table, rows).drop(column).write.mode("overwrite").parquet(folder)
 
-    def replace_partitions(self, table, rows):
-        """Overwrite just the months that ``rows`` contain."""
-        rows = self._shaped(table, rows)
-        (
-            self._writer(table, rows)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(self.path(table))
+    # Loads -----------------------------------------------------------------
+
+    def begin_load(self):
+        return self.ledger.begin(self._discard)
+
+    def publish_load(self, number):
+        """Make all that load ``number`` has written visible at once."""
+        self.ledger.publish(number)
+        self._forget_versions()
+
+    def _discard(self, number):
+        """Remove what a lost load has written."""
+        self.remove(f"{self.path(FACTS)}/load_no={number}")
+        self.remove(f"{self.path(KEYS)}/load_no={number}")
+        for month in self.files.names(self.path(DAILY)):
+            self.remove(f"{self.path(DAILY)}/{month}/load_no={number}")
+
+    def _forget_versions(self):
+        """Keep the newest two versions of each month: somebody may still read the older one."""
+        last = self.ledger.published()
+        for month in self.files.names(self.path(DAILY)):
+            if month.startswith("month_id="):
+                folder = f"{self.path(DAILY)}/{month}"
+                loads = sorted(int(n.split("=")[1]) for n in self.files.names(folder) if n.startswith("load_no="))
+                for old in [n for n in loads if n <= last][:-2]:
+                    self.remove(f"{folder}/load_no={old}")
+
+    def add_facts(self, rows, number):
+        """Write the facts of a load, with ids above the stored ones."""
+        highest = self.highest(FACTS, "transaction_id")
+        rows = rows.withColumn("transaction_id", F.lit(None).cast("long"))
+        writer = self._writer(FACTS, self._shaped(FACTS, rows), "transaction_id", highest)
+        writer.mode("overwrite").parquet(f"{self.path(FACTS)}/load_no={number}")
+
+    def write_sums(self, rows, number):
+        """Write the sums of the months in ``rows`` as their versions of a load; all of a month's rows must be there."""
+        rows = self._shaped(DAILY, rows).withColumn("load_no", F.lit(number))
+        self._writer(DAILY, rows, parts=["month_id", "load_no"]).mode("append").parquet(self.path(DAILY))
+
+    # What runs did --------------------------------------------------------
+
+    def log_run(self, entries, run_date, number):
+        """Keep the counts (stage, name, n) of a run."""
+        rows = self.spark.createDataFrame(entries, "stage string, name string, n long")
+        rows = rows.select(F.lit(number).alias("load_no"), F.lit(run_date).cast("date").alias("run_date"), "*")
+        rows.coalesce(1).write.mode("append").parquet(self.path("_run_log"))
+
+    def run_log(self):
+        """(load_no, run_date, stage, name, n) of all published runs."""
+        schema = "load_no int, run_date date, stage string, name string, n long"
+        if not self._exists(self.path("_run_log")):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path("_run_log"))
+
+    # Keys of all facts -----------------------------------------------------
+
+    def key_table(self, columns):
+        """Name of the catalog's table over the stored keys, with the folders of all loads."""
+        path = self.path(KEYS)
+        others = [n for n in self.files.names(self.root) if n.startswith(f"{KEYS}.")]
+        shape = f"{KEYS}.{self.buckets}.{len(columns)}"
+        if others and others != [shape]:
+            raise ValueError(f"the store's keys were written as {others}, not as {shape}")
+        self.files.touch(self.path(shape))
+        self.files.make(path)
+        name = f"ledgerloom_keys_{hashlib.md5(path.encode()).hexdigest()}"
+        kinds = ", ".join(f"{c} string" for c in columns)
+        where = path.replace("'", "\\'")
+        # Made anew each time: the folders of a lost load may be gone. Dropping it leaves the files.
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.sql(
+            f"CREATE TABLE {name} ({kinds}, load_no int) USING parquet PARTITIONED BY (load_no) "
+            f"CLUSTERED BY ({', '.join(columns)}) SORTED BY ({', '.join(columns)}) "
+            f"INTO {self.buckets} BUCKETS LOCATION '{where}'"
         )
+        self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        return name
 
-    def note_months(self, rows):
-        """Remember the months of ``rows`` until their sums are written."""
-        months = rows.select(month_id(F.col("date_id")).alias("month_id")).distinct()
-        months.write.mode("append").parquet(self.path(NOTED))
-
-    def noted_months(self):
-        if not self._exists(self.path(NOTED)):
-            return []
-        noted = self.spark.read.schema("month_id int").parquet(self.path(NOTED))
-        return [row.month_id for row in noted.distinct().collect()]
+    def stored_keys(self, columns):
+        """Keys of all published facts, bucketed and, within a file, sorted by ``columns``."""
+        keys = self.spark.table(self.key_table(columns))
+        return keys.filter(F.col("load_no") <= self.ledger.published()).select(*columns)
 
-    def forget_months(self):
-        self.remove(self.path(NOTED))
+    def add_keys(self, rows, columns, number):
+        """Write the keys of a load's facts, one file for each bucket that has any."""
+        rows = rows.select(*columns).repartition(self.buckets, *columns).withColumn("load_no", F.lit(number))
+        rows.write.mode("append").insertInto(self.key_table(columns))
 
     def remove(self, folder):
-        where, files = self._hadoop(folder)
-        files.delete(where, True)
+        self.files.remove(folder)
 
     def _shaped(self, table, rows):
         return rows.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[table]])
 
-    def _writer(self, table, rows, number=None, highest=None):
+    def _writer(self, table, rows, number=None, highest=None, parts=("month_id",)):
         if table in MONTHLY:
             # Rebalancing gathers each month and splits months that are large.
             rows = rows.withColumn("month_id", month_id(F.col("date_id")))
@@ -151,27 +261,19 @@ class Mart:
             rows = rows.sortWithinPartitions("month_id", "date_id")
             if number:
                 rows = with_surrogate_key(rows, number, highest)
-            return rows.write.partitionBy("month_id")
+            return rows.write.partitionBy(*parts)
         if table == "reject_log":
             return rows.write.partitionBy("pipeline_run_date")
         return rows.write.options(**MARK)
 
     # Files -----------------------------------------------------------------
 
-    def _hadoop(self, folder):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
     def _exists(self, folder):
-        where, files = self._hadoop(folder)
-        return files.exists(where)
+        return self.files.exists(folder)
 
     def _versions(self, table):
         """Folders of the complete versions, oldest first."""
-        if not self._exists(self.path(table)):
-            return []
-        where, files = self._hadoop(self.path(table))
-        versions = sorted(status.getPath().toString() for status in files.listStatus(where))
+        versions = [f"{self.path(table)}/{name}" for name in self.files.names(self.path(table))]
         return [v for v in versions if self._exists(f"{v}/_SUCCESS")]
 
     @staticmethod

@@ -183,7 +183,7 @@ def test_sums_of_a_lost_load_are_made_up_for(spark, tmp_path, monkeypatch):
     mart = Mart(spark, config.mart_root)
     facts = mart.read("fact_transactions").agg(F.sum("gross_revenue")).first()[0]
     sums = mart.read("agg_daily_revenue").agg(F.sum("net_revenue")).first()[0]
-    assert facts == sums and mart.noted_months() == []
+    assert facts == sums and mart.ledger.lost() == []
 
 
 def test_stored_facts_are_cut_before_they_are_shuffled(spark):
