@@ -1,7 +1,6 @@
 """The table constraints, as queries that return what breaks them."""
 
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import functions as F
 
@@ -76,37 +75,28 @@ def fact_rules(kept):
     return rules | {f"range:{name}": value.isNull() for name, value in numbers.items()}
 
 
-def key_violations(rows, unique, parents):
-    """(rule, keys, rows): keys of ``rows`` that are not unique, or have no parent row.
+def orphan_counts(rows, parents):
+    """(rule, keys, rows): how many values of each column, in how many rows, have no parent.
 
     ``parents`` maps a column to (frame, key column). One pass over ``rows``:
-    they are collapsed to the distinct values of all rules at once, and these
-    meet the parents' keys in one join. Keys with a null never clash, and a
-    null has no parent to look for.
+    they collapse to the distinct values of all columns at once, and these meet
+    the parents' keys in one join. A null has no parent to look for.
     """
-    def value(*names):
-        texts = [F.col(n).cast("string") for n in names]
-        whole = reduce(or_, [t.isNull() for t in texts])
-        return F.when(~whole, F.to_json(F.array(*texts)))
-
-    rules = {f"duplicate:{','.join(unique)}": value(*unique)}
-    rules |= {f"orphan:{column}": value(column) for column in parents}
-    pairs = [F.struct(F.lit(rule).alias("rule"), found.alias("value")) for rule, found in rules.items()]
-    used = rows.select(F.inline(F.array(*pairs))).filter("value IS NOT NULL")
+    def entry(column, name):
+        return F.struct(F.lit(f"orphan:{column}").alias("rule"), F.col(name).cast("string").alias("value"))
+
+    used = rows.select(F.inline(F.array(*[entry(c, c) for c in parents]))).filter("value IS NOT NULL")
     used = used.groupBy("rule", "value").agg(F.count("*").alias("n"))
     known = reduce(
         lambda a, b: a.unionByName(b),
-        [
-            frame.select(
-                F.lit(f"orphan:{column}").alias("rule"), F.to_json(F.array(F.col(key).cast("string"))).alias("value")
-            )
-            for column, (frame, key) in parents.items()
-        ],
-    )
-    orphans = used.filter(F.startswith("rule", F.lit("orphan:"))).join(known, ["rule", "value"], "left_anti")
-    twice = used.filter(F.startswith("rule", F.lit("duplicate:")) & (F.col("n") > 1))
-    return (
-        orphans.unionByName(twice)
-        .groupBy("rule")
-        .agg(F.count("*").alias("keys"), F.sum("n").alias("rows"))
+        [frame.select(F.inline(F.array(entry(column, key)))) for column, (frame, key) in parents.items()],
     )
+    orphans = used.join(known, ["rule", "value"], "left_anti")
+    return orphans.groupBy("rule").agg(F.count("*").alias("keys"), F.sum("n").alias("rows"))
+
+
+def key_violations(rows, unique, parents):
+    """``orphan_counts`` and, as one more rule, the keys of ``rows`` that occur more than once."""
+    twice = duplicate_keys(rows, unique).agg(F.count("*").alias("keys"), F.sum("n").alias("rows"))
+    twice = twice.filter("keys > 0").select(F.lit(f"duplicate:{','.join(unique)}").alias("rule"), "*")
+    return orphan_counts(rows, parents).unionByName(twice)

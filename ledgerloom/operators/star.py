@@ -82,35 +82,53 @@ def build_fact_from_split(sales, returns, null_invoice_text=None):
     return build_fact(sales.unionByName(returns, allowMissingColumns=True), null_invoice_text)
 
 
-def build_daily_revenue(fact):
-    """Daily sums per product; returns count with their absolute value."""
+SUMS = {
+    "gross_revenue": MONEY,
+    "return_amount": MONEY,
+    "net_revenue": MONEY,
+    "total_sales_qty": "int",
+    "total_return_qty": "int",
+}
+
+
+def daily_shares(fact):
+    """What each fact adds to the sums of its day and product; returns count with their absolute value."""
     sale = F.col("transaction_type") == SALE
     back = F.col("transaction_type") == RETURN
     revenue, quantity = F.col("gross_revenue"), F.col("quantity")
 
-    def total(condition, value):
-        return F.sum(F.when(condition, value).otherwise(F.lit(0)))
+    def share(condition, value):
+        return F.when(condition, value).otherwise(F.lit(0))
 
-    return fact.groupBy("date_id", "product_code").agg(
-        total(sale, revenue).cast(MONEY).alias("gross_revenue"),
-        total(back, F.abs(revenue)).cast(MONEY).alias("return_amount"),
-        F.sum(revenue).cast(MONEY).alias("net_revenue"),
-        total(sale, quantity).cast("int").alias("total_sales_qty"),
-        total(back, F.abs(quantity)).cast("int").alias("total_return_qty"),
+    return fact.select(
+        "date_id",
+        "product_code",
+        share(sale, revenue).alias("gross_revenue"),
+        share(back, F.abs(revenue)).alias("return_amount"),
+        revenue.alias("net_revenue"),
+        share(sale, quantity).alias("total_sales_qty"),
+        share(back, F.abs(quantity)).alias("total_return_qty"),
     )
 
 
-SUMS = ["gross_revenue", "return_amount", "net_revenue", "total_sales_qty", "total_return_qty"]
+def _summed(shares, *others):
+    totals = [F.sum(name).cast(kind).alias(name) for name, kind in SUMS.items()]
+    return shares.groupBy("date_id", "product_code").agg(*totals, *others)
 
 
-def merge_daily_revenue(stored, delta):
-    """Stored daily sums plus those of new facts; both sides have one row per day and product.
+def build_daily_revenue(fact):
+    """Daily sums per product."""
+    return _summed(daily_shares(fact))
+
+
+def merge_daily_revenue(stored, new, now=None):
+    """Stored daily sums plus those of new facts, in one aggregation.
 
     Sums add up, so facts that are summed already need not be read again.
+    ``now`` becomes the ``updated_at`` of days and products with new facts.
     """
-    kinds = dict(delta.dtypes)
-    both = stored.select(*delta.columns).unionByName(delta)
-    newest = [F.max("updated_at").alias("updated_at")] if "updated_at" in delta.columns else []
-    return both.groupBy("date_id", "product_code").agg(
-        *[F.sum(name).cast(kinds[name]).alias(name) for name in SUMS], *newest
-    )
+    shares = daily_shares(new)
+    if now is None:
+        return _summed(stored.select(*shares.columns).unionByName(shares))
+    both = stored.select(*shares.columns, "updated_at").unionByName(shares.withColumn("updated_at", now))
+    return _summed(both, F.max("updated_at").alias("updated_at"))

@@ -4,13 +4,13 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..constants import ANONYMOUS, DATE_FORMATS, SOURCE_PRIORITY
 from ..functions import month_id
 from ..operators.catalogue import category_histogram, choose_names, products_from, with_canonical
-from ..operators.checks import count_failures, fact_rules, key_violations
+from ..operators.checks import count_failures, fact_rules, orphan_counts
 from ..operators.merge import (
     absent_rows,
     in_range,
@@ -119,35 +119,43 @@ def load_feed(spark, feed, config, run_date):
         written = {table: job.result() for table, job in jobs.items()}
     new = new_facts(mart, staged.kept, config, run_date)
     written["fact_transactions"], months = new.count(), []
-    if written["fact_transactions"]:
-        check_keys(mart, new, config.strict)
-        load_fact(mart, new, number, config.fact_key)
-    if written["fact_transactions"] or config.refresh_all_days:
-        months = load_daily_revenue(mart, new, number, config.refresh_all_days)
+    with ThreadPoolExecutor(5) as pool:
+        counts = pool.submit(row_counts, staged)
+        # Nothing of this is visible before the load is published, so the gate need not come first.
+        jobs = []
+        if written["fact_transactions"]:
+            jobs = [
+                pool.submit(check_keys, mart, new, config.strict),
+                pool.submit(mart.add_facts, new, number),
+                pool.submit(mart.add_keys, new, key_names(config.fact_key), number),
+            ]
+        if jobs or config.refresh_all_days:
+            months = load_daily_revenue(mart, new, number, config.refresh_all_days)
+        for job in jobs:
+            job.result()
     mart.publish_load(number)
     written["agg_daily_revenue"] = mart.daily_sums(months).count()
 
-    metrics = run_metrics(staged.routed, staged.kept).orderBy("stage", "source").collect()
-    for row in metrics:
-        log.info("%s %s: %d", row.stage, row.source, row.n)
-    report(mart, staged, metrics, written, run_date, number)
+    metrics, others = counts.result()
+    written = [("written", table, n) for table, n in sorted(written.items())]
+    for stage_, name, n in [*metrics, *others, *written]:
+        log.info("%s %s: %d", stage_, name, n)
+    mart.log_run([*metrics, *others, *written], run_date, number)
     if not config.keep_staging:
         for name in STAGED:
             mart.remove(config.staging(name, run_date))
-    return {(row.stage, row.source): row.n for row in metrics}
+    return {(stage_, source): n for stage_, source, n in metrics}
 
 
-def report(mart, staged, metrics, written, run_date, number):
-    """Log and keep what a run did: (stage, name, n) for stages, sheets, tables and categories."""
-    entries = [(row.stage, row.source, row.n) for row in metrics]
-    entries += [("sheet", row.sheet, row.n) for row in sheet_counts(staged.routed).collect()]
-    entries += [("written", table, n) for table, n in sorted(written.items())]
-    products = mart.read("dim_products").select("product_code", "category")
-    categories = category_histogram(staged.kept, products).orderBy("transaction_type", "category")
-    entries += [(f"category: {r.transaction_type.lower()}", r.category, r.n) for r in categories.collect()]
-    for stage, name, n in entries[len(metrics) :]:
-        log.info("%s %s: %d", stage, name, n)
-    mart.log_run(entries, run_date, number)
+def row_counts(staged):
+    """(stage, name, n) of a run: per stage and source; per sheet and per category of products."""
+    stages = run_metrics(staged.routed, staged.kept).orderBy("stage", "source").collect()
+    sheets = sheet_counts(staged.routed).collect()
+    products = products_from(staged.names).select("product_code", "category")
+    sorts = category_histogram(staged.kept, products).orderBy("transaction_type", "category").collect()
+    others = [("sheet", row.sheet, row.n) for row in sheets]
+    others += [(f"category: {row.transaction_type.lower()}", row.category, row.n) for row in sorts]
+    return [(row.stage, row.source, row.n) for row in stages], others
 
 
 @dataclass(frozen=True)
@@ -241,35 +249,34 @@ def _added(mart, table, rows):
     return mart.read(table).count() - before
 
 
+COPIES = "_copies"
+
+
 def new_facts(mart, kept, config, run_date):
-    """The facts whose key is not stored yet, staged.
+    """The facts whose key is not stored yet, staged with the number of rows that have their key.
 
     The stored keys are bucketed, so only the new rows are moved to meet them,
     and the range of the new invoices lets the scan skip the files of others.
+    Counting the copies of a key uses the same partitions again.
     """
-    key = config.fact_key
+    names = key_names(config.fact_key)
     fresh = build_fact(kept, config.null_invoice_text)
-    first = key_names(key)[0]
-    stored = in_range(mart.stored_keys(key_names(key)), fresh.select(key_columns(key)[0]), first)
-    new = unknown_keys(stored, fresh, key).withColumn("loaded_at", F.current_timestamp())
-    return _staged(new, config.staging("new_facts", run_date))
+    stored = in_range(mart.stored_keys(names), fresh.select(key_columns(config.fact_key)[0]), names[0])
+    copies = F.count("*").over(Window.partitionBy(*names)).alias(COPIES)
+    new = unknown_keys(stored, fresh, config.fact_key).select("*", copies)
+    return _staged(new.withColumn("loaded_at", F.current_timestamp()), config.staging("new_facts", run_date))
 
 
 def check_keys(mart, new, strict=True):
-    """Refuse new facts whose key is there twice or that have no parent row, before any is written."""
+    """Refuse new facts whose key is there twice or that have no parent row. Keys with a null never clash."""
     parents = {
         column: (mart.read(table), UNIQUE_KEYS[table][0][0])
         for column, table in FOREIGN_KEYS["fact_transactions"].items()
     }
     unique = UNIQUE_KEYS["fact_transactions"][1]
-    found = key_violations(new, unique, parents).collect()  # one row per rule
-    _report({row.rule: row.rows for row in found}, strict)
-
-
-def load_fact(mart, new, number, key=FACT_KEY):
-    """Write new facts and their keys as part of a load."""
-    mart.add_facts(new, number)
-    mart.add_keys(new, key_names(key), number)
+    twice = new.filter(F.col(COPIES) > 1).dropna(how="any", subset=unique).count()
+    found = {row.rule: row.rows for row in orphan_counts(new, parents).collect()}  # one row per rule
+    _report(found | {f"duplicate:{','.join(unique)}": twice}, strict)
 
 
 def load_daily_revenue(mart, new, number, all_days=False):
@@ -278,17 +285,16 @@ def load_daily_revenue(mart, new, number, all_days=False):
     Only the sums of touched months are read, and no stored fact. ``all_days``
     sums all facts again. Returns the touched months.
     """
-    now = F.current_timestamp().alias("updated_at")
-    daily = build_daily_revenue(new)
-    if all_days:
-        # Not published yet, so the stored facts are those of earlier loads.
-        stored = build_daily_revenue(mart.read("fact_transactions"))
-        daily = merge_daily_revenue(stored, daily).select("*", now)
+    now = F.current_timestamp()
+    facts = mart.read("fact_transactions") if all_days else None
+    every = new.select("date_id") if facts is None else new.select("date_id").union(facts.select("date_id"))
     # A calendar has few months, so their list is small.
-    touched = daily.select(month_id(F.col("date_id")).alias("month")).distinct().collect()
+    touched = every.select(month_id(F.col("date_id")).alias("month")).distinct().collect()
     months = sorted(row.month for row in touched)
-    if not all_days:
-        daily = merge_daily_revenue(mart.daily_sums(months), daily.select("*", now))
+    if facts is None:
+        daily = merge_daily_revenue(mart.daily_sums(months), new, now)
+    else:  # not published yet, so the stored facts are those of earlier loads
+        daily = merge_daily_revenue(build_daily_revenue(facts), new).withColumn("updated_at", now)
     if months:
         mart.write_sums(daily, number)
     return months
