@@ -132,3 +132,38 @@ def merge_daily_revenue(stored, new, now=None):
         return _summed(stored.select(*shares.columns).unionByName(shares))
     both = stored.select(*shares.columns, "updated_at").unionByName(shares.withColumn("updated_at", now))
     return _summed(both, F.max("updated_at").alias("updated_at"))
+
+
+# Relative standard error of a distinct count from a sketch of 2^12 registers: 1.04 / 2^6.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def build_daily_invoices(fact):
+    """Sales per day, country and kind of customer, with a mergeable sketch of their invoices."""
+    anonymous = (F.col("customer_id") == ANONYMOUS).alias("is_anonymous")
+    return (
+        fact.filter(F.col("transaction_type") == SALE)
+        .groupBy("date_id", "country", anonymous)
+        .agg(
+            F.count("*").alias("lines"),
+            F.sum("gross_revenue").alias("gross_revenue"),
+            F.sum("quantity").alias("units"),
+            F.hll_sketch_agg("invoice_no", F.lit(SKETCH_BITS)).alias("invoices"),
+        )
+    )
+
+
+def merge_daily_invoices(stored, delta):
+    """Sums add up and sketches of the same size unite; neither needs the facts again."""
+    return (
+        stored.select(*delta.columns)
+        .unionByName(delta)
+        .groupBy("date_id", "country", "is_anonymous")
+        .agg(
+            F.sum("lines").alias("lines"),
+            F.sum("gross_revenue").cast("decimal(24,4)").alias("gross_revenue"),
+            F.sum("units").alias("units"),
+            F.hll_union_agg("invoices").alias("invoices"),
+        )
+    )

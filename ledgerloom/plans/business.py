@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 from ..constants import ANONYMOUS, ANONYMOUS_LABEL, IDENTIFIED_LABEL, SALE
 from ..functions import percent, ratio
-from ..operators.percentile import exact_percentiles
-from ..session import use_checkpoints
+from ..operators.percentile import (
+    SKETCH_K,
+    percentile_in_plan,
+    quantile_sketches,
+    sketched_quantile,
+)
 
 MEASURES = [
     "gross_revenue",
@@ -136,12 +140,16 @@ def q4_countries(tables):
     )
 
 
-def q5_customer_segments(tables, salts=64):
+def q5_customer_segments(tables, salts=None):
     """Identified against anonymous customers.
 
     The anonymous customer holds a large part of all lines. Its dimension row
-    is repeated per salt and its lines are spread over the salts by invoice.
+    is repeated per salt and its lines are spread over the salts by invoice:
+    as many as there are shuffle partitions, if not given.
     """
+    if salts is None:
+        spark = tables["fact_transactions"].sparkSession
+        salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     invoice_salt = F.pmod(F.xxhash64("invoice_no"), F.lit(salts)).cast("int")
     is_hot = F.col("customer_id") == ANONYMOUS
     lines = (
@@ -203,23 +211,13 @@ def q6b_variants(variants, k=20):
     return variants.orderBy(F.desc("variantes"), "product_code").limit(k)
 
 
-def _review_limits(tables, min_sold, fraction):
-    """Totals per product, and the lowest revenue and return rate to review.
+RATE = "tasa_devolucion_pct"
 
-    Totals are checkpointed: they are read for each percentile and again for
-    the answer, and the facts are not.
-    """
+
+def _review_totals(tables, min_sold):
+    """Totals and return rate per product that sold enough."""
     totals = product_totals(tables, *MEASURES).filter(F.col("total_sales_qty") >= min_sold)
-    use_checkpoints(totals.sparkSession)
-    rate = percent(F.col("total_return_qty"), F.col("total_sales_qty"))
-    stats = totals.withColumn("tasa_devolucion_pct", rate).checkpoint()
-    limits = exact_percentiles(
-        stats,
-        ["gross_revenue", "tasa_devolucion_pct"],
-        fraction,
-        ["product_code"],
-    )
-    return stats, {name: _exact(F.lit(value)) for name, value in limits.items()}
+    return totals.withColumn(RATE, percent(F.col("total_return_qty"), F.col("total_sales_qty")))
 
 
 def _exact(value):
@@ -227,21 +225,42 @@ def _exact(value):
     return value.cast("decimal(38,10)")
 
 
+def _limits(totals, fraction):
+    """The lowest revenue and return rate to review, as scalar subqueries of the plan."""
+    money = totals.withColumn(RATE, F.col(RATE).cast("decimal(28,2)"))
+    return {
+        name: percentile_in_plan(money, name, fraction).select(_exact(F.col("value"))).scalar()
+        for name in ("gross_revenue", RATE)
+    }
+
+
 def q7_limits(tables, min_sold=10, fraction=0.75):
     """The limits of ``q7_review_candidates``, in one row."""
-    stats, limits = _review_limits(tables, min_sold, fraction)
-    return stats.sparkSession.range(1).select(
+    totals = _review_totals(tables, min_sold)
+    limits = _limits(totals, fraction)
+    return totals.sparkSession.range(1).select(
         *[value.cast("double").alias(name) for name, value in limits.items()]
     )
 
 
+def q7_limits_sketch(tables, min_sold=10, fraction=0.75, k=SKETCH_K):
+    """The limits up to the rank error of a sketch of size ``k``, from one pass over the totals."""
+    totals = _review_totals(tables, min_sold)
+    sides = [
+        sketched_quantile(quantile_sketches(totals, [], name, k).select("sketch").scalar(), fraction).alias(name)
+        for name in ("gross_revenue", RATE)
+    ]
+    return totals.sparkSession.range(1).select(*sides)
+
+
 def q7_review_candidates(tables, k=15, min_sold=10, fraction=0.75):
     """Top-quartile revenue and top-quartile return rate: candidates for review.
 
-    A product exactly on a limit is one: limits are compared as decimals.
+    A product exactly on a limit is one: limits are compared as decimals. No job
+    runs before the answer is asked for.
     """
-    chosen, limits = _review_limits(tables, min_sold, fraction)
-    for name, value in limits.items():
+    chosen = _review_totals(tables, min_sold)
+    for name, value in _limits(chosen, fraction).items():
         chosen = chosen.filter(_exact(F.col(name)) >= value)
     return (
         chosen.orderBy(F.desc("return_amount"), "product_code")
@@ -253,13 +272,48 @@ def q7_review_candidates(tables, k=15, min_sold=10, fraction=0.75):
             _money("gross_revenue").alias("revenue_bruto"),
             _money("return_amount").alias("devoluciones"),
             _money("net_revenue").alias("revenue_neto"),
-            "tasa_devolucion_pct",
+            RATE,
             F.col("total_sales_qty").alias("unidades_vendidas"),
             F.col("total_return_qty").alias("unidades_devueltas"),
         )
     )
 
 
+# From stored invoice sketches, without reading facts --------------------------
+
+
+def _sketch_tickets(line, invoice):
+    invoices = F.hll_sketch_estimate(F.hll_union_agg("invoices"))
+    return [
+        invoices.alias("num_facturas"),
+        F.sum("lines").alias("num_lineas"),
+        _money(F.sum("gross_revenue")).alias("revenue_total"),
+        ratio(F.sum("gross_revenue"), F.sum("lines")).alias(line),
+        ratio(F.sum("gross_revenue"), F.nullif(invoices, F.lit(0))).alias(invoice),
+    ]
+
+
+def q4_countries_sketch(daily_invoices):
+    """``q4_countries`` with invoices counted by merged sketches; all else is exact."""
+    tickets = _sketch_tickets("ticket_promedio_por_linea", "ticket_promedio_por_factura")
+    return (
+        daily_invoices.filter(F.col("country").isNotNull())
+        .groupBy("country")
+        .agg(*tickets)
+        .orderBy(F.desc("revenue_total"), "country")
+    )
+
+
+def q5_customer_segments_sketch(daily_invoices):
+    """``q5_customer_segments`` with invoices counted by merged sketches; all else is exact."""
+    tickets = _sketch_tickets("ticket_promedio_linea", "ticket_promedio_factura")
+    units = ratio(F.sum("units"), F.sum("lines")).alias("cantidad_promedio")
+    segments = daily_invoices.groupBy("is_anonymous").agg(*tickets, units)
+    label = F.when(F.col("is_anonymous"), ANONYMOUS_LABEL).otherwise(IDENTIFIED_LABEL)
+    measures = [c for c in segments.columns if c != "is_anonymous"]
+    return segments.select("is_anonymous", label.alias("tipo_cliente"), *measures).orderBy("is_anonymous")
+
+
 QUESTIONS = {
     "q1_monthly_net": q1_monthly_net,
     "q2_category_returns": q2_category_returns,

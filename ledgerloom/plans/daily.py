@@ -24,9 +24,11 @@ from ..operators.metrics import run_metrics, sheet_counts
 from ..operators.route import reject_entries, rejected
 from ..operators.star import (
     build_customers,
+    build_daily_invoices,
     build_daily_revenue,
     build_dates,
     build_fact,
+    merge_daily_invoices,
     merge_daily_revenue,
 )
 from ..schemas import FOREIGN_KEYS, UNIQUE_KEYS
@@ -67,6 +69,8 @@ class LoadConfig:
     strict: bool = True
     refresh_all_days: bool = False
     keep_staging: bool = False
+    # Also keep invoice sketches per day, so that invoices are counted without reading facts.
+    invoice_sketches: bool = False
     # Files over which the keys of all facts are spread; fixed once a store has been loaded.
     key_buckets: int = 64
     # Options of ``read_extract``: encoding, multiline.
@@ -131,6 +135,8 @@ def load_feed(spark, feed, config, run_date):
             ]
         if jobs or config.refresh_all_days:
             months = load_daily_revenue(mart, new, number, config.refresh_all_days)
+        if config.invoice_sketches:
+            load_daily_invoices(mart, new, months, number, config.refresh_all_days)
         for job in jobs:
             job.result()
     mart.publish_load(number)
@@ -300,6 +306,20 @@ def load_daily_revenue(mart, new, number, all_days=False):
     return months
 
 
+def load_daily_invoices(mart, new, months, number, all_days=False):
+    """Add the new facts to the invoice sketches of their months, as part of a load.
+
+    A store that has facts but no sketches yet gets those of all its facts.
+    """
+    facts, table = mart.read("fact_transactions"), "agg_daily_invoices"
+    if all_days or (mart.read(table).isEmpty() and not facts.isEmpty()):
+        columns = ["date_id", "country", "customer_id", "transaction_type", "gross_revenue", "quantity", "invoice_no"]
+        daily = build_daily_invoices(facts.select(*columns).unionByName(new.select(*columns)))
+    else:
+        daily = merge_daily_invoices(mart.daily_sums(months, table), build_daily_invoices(new))
+    mart.write_sums(daily, number, table)
+
+
 def load_rejects(mart, rejects, run_date, mode="append"):
     """Log the rejected rows of a run."""
     entries = reject_entries(rejects, run_date)

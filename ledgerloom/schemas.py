@@ -69,6 +69,17 @@ AGG_DAILY_REVENUE = _table(
     ("updated_at", T.TimestampType()),
 )
 
+# Optional, beside the daily sums: what counts invoices without reading facts.
+AGG_DAILY_INVOICES = _table(
+    ("date_id", T.DateType()),
+    ("country", T.StringType()),
+    ("is_anonymous", T.BooleanType()),
+    ("lines", T.LongType()),
+    ("gross_revenue", T.DecimalType(24, 4)),
+    ("units", T.LongType()),
+    ("invoices", T.BinaryType()),
+)
+
 REJECT_LOG = _table(
     ("reject_id", T.LongType()),
     ("source", T.StringType()),
@@ -89,6 +100,8 @@ TABLES = {
     "reject_log": REJECT_LOG,
 }
 
+OPTIONAL_TABLES = {"agg_daily_invoices": AGG_DAILY_INVOICES}
+
 UNIQUE_KEYS = {
     "dim_products": [["product_code"]],
     "dim_customers": [["customer_id"]],

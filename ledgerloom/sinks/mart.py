@@ -20,12 +20,15 @@ from pyspark.sql import types as T
 
 from ..functions import month_id
 from ..operators.merge import anonymous_customer, with_surrogate_key
-from ..schemas import TABLES
+from ..schemas import OPTIONAL_TABLES, TABLES
 from .ledger import Files, Ledger
 
 # Large tables are laid out by load and month, or by month and load; the audit log by run.
-FACTS, DAILY = "fact_transactions", "agg_daily_revenue"
-MONTHLY = [FACTS, DAILY]
+FACTS, DAILY, INVOICES = "fact_transactions", "agg_daily_revenue", "agg_daily_invoices"
+# Tables that hold one version of a month for each load that changed it.
+BY_MONTH = [DAILY, INVOICES]
+MONTHLY = [FACTS, *BY_MONTH]
+SCHEMAS = TABLES | OPTIONAL_TABLES
 REWRITTEN = ["dim_products"]
 KEYS = "_fact_keys"
 # Readers trust the marker of a finished write, so it must not be switched off.
@@ -60,17 +63,21 @@ class Mart:
 
     def read(self, table) -> DataFrame:
         """The stored rows; an empty frame while nothing is stored."""
-        if table == DAILY:
-            return self._read_folders(table, self._month_versions().values()).drop("load_no")
+        if table in BY_MONTH:
+            return self._read_folders(table, self._month_versions(table).values()).drop("load_no")
         folder = self.path(table)
         if table in REWRITTEN:
             folder = max(self._versions(table), default=None)
         if folder is None or not self._exists(folder):
             return self._nothing(self._stored_schema(table)).drop("load_no")
-        rows = self.spark.read.schema(self._stored_schema(table)).parquet(folder)
         if table == FACTS:
-            rows = rows.filter(F.col("load_no") <= self.ledger.published()).drop("load_no")
-        return rows
+            return self.facts_by_load().drop("load_no")
+        return self.spark.read.schema(self._stored_schema(table)).parquet(folder)
+
+    def facts_by_load(self):
+        """The published facts, with the load that added them."""
+        rows = self.spark.read.schema(self._stored_schema(FACTS)).parquet(self.path(FACTS))
+        return rows.filter(F.col("load_no") <= self.ledger.published())
 
     def _nothing(self, columns):
         """No rows, behind a filter the optimizer sees through: joins with this cost nothing."""
@@ -88,24 +95,30 @@ class Mart:
     def _stored_schema(table):
         """The table's columns and, if it is laid out by month, the month and the load."""
         extra = ["month_id", "load_no"] if table in MONTHLY else []
-        return T.StructType(TABLES[table].fields + [T.StructField(c, T.IntegerType()) for c in extra])
-
-    def _month_versions(self):
-        """Folder of the newest published version of each month's sums."""
+        return T.StructType(SCHEMAS[table].fields + [T.StructField(c, T.IntegerType()) for c in extra])
+
+    def _loads_of_months(self, table):
+        """(month, its folder, the loads that wrote a version of it, rising)."""
+        for name in self.files.names(self.path(table)):
+            if name.startswith("month_id="):
+                folder = f"{self.path(table)}/{name}"
+                loads = [n.split("=")[1] for n in self.files.names(folder) if n.startswith("load_no=")]
+                yield int(name.split("=")[1]), folder, sorted(map(int, loads))
+
+    def _month_versions(self, table):
+        """Folder of the newest published version of each month."""
         last, found = self.ledger.published(), {}
-        for month in self.files.names(self.path(DAILY)):
-            if month.startswith("month_id="):
-                loads = [int(name.split("=")[1]) for name in self.files.names(f"{self.path(DAILY)}/{month}")]
-                newest = max((n for n in loads if n <= last), default=None)
-                if newest is not None:
-                    found[int(month.split("=")[1])] = f"{self.path(DAILY)}/{month}/load_no={newest}"
+        for month, folder, loads in self._loads_of_months(table):
+            newest = max((n for n in loads if n <= last), default=None)
+            if newest is not None:
+                found[month] = f"{folder}/load_no={newest}"
         return found
 
-    def daily_sums(self, months):
+    def daily_sums(self, months, table=DAILY):
         """Stored sums of some months; the others are not opened."""
-        versions = self._month_versions()
+        versions = self._month_versions(table)
         chosen = [versions[m] for m in months if m in versions]
-        return self._read_folders(DAILY, chosen).drop("load_no", "month_id")
+        return self._read_folders(table, chosen).drop("load_no", "month_id")
 
     def tables(self):
         return {name: self.read(name) for name in TABLES}
@@ -173,16 +186,16 @@ class Mart:
         """Remove what a lost load has written."""
         self.remove(f"{self.path(FACTS)}/load_no={number}")
         self.remove(f"{self.path(KEYS)}/load_no={number}")
-        for month in self.files.names(self.path(DAILY)):
-            self.remove(f"{self.path(DAILY)}/{month}/load_no={number}")
+        for table in BY_MONTH:
+            for _, folder, loads in self._loads_of_months(table):
+                if number in loads:
+                    self.remove(f"{folder}/load_no={number}")
 
     def _forget_versions(self):
         """Keep the newest two versions of each month: somebody may still read the older one."""
         last = self.ledger.published()
-        for month in self.files.names(self.path(DAILY)):
-            if month.startswith("month_id="):
-                folder = f"{self.path(DAILY)}/{month}"
-                loads = sorted(int(n.split("=")[1]) for n in self.files.names(folder) if n.startswith("load_no="))
+        for table in BY_MONTH:
+            for _, folder, loads in self._loads_of_months(table):
                 for old in [n for n in loads if n <= last][:-2]:
                     self.remove(f"{folder}/load_no={old}")
 
@@ -193,10 +206,10 @@ class Mart:
         writer = self._writer(FACTS, self._shaped(FACTS, rows), "transaction_id", highest)
         writer.mode("overwrite").parquet(f"{self.path(FACTS)}/load_no={number}")
 
-    def write_sums(self, rows, number):
-        """Write the sums of the months in ``rows`` as their versions of a load; all of a month's rows must be there."""
-        rows = self._shaped(DAILY, rows).withColumn("load_no", F.lit(number))
-        self._writer(DAILY, rows, parts=["month_id", "load_no"]).mode("append").parquet(self.path(DAILY))
+    def write_sums(self, rows, number, table=DAILY):
+        """Write the months in ``rows`` as their versions of a load; all of a month's rows must be there."""
+        rows = self._shaped(table, rows).withColumn("load_no", F.lit(number))
+        self._writer(table, rows, parts=["month_id", "load_no"]).mode("append").parquet(self.path(table))
 
     # What runs did --------------------------------------------------------
 
@@ -251,7 +264,7 @@ class Mart:
         self.files.remove(folder)
 
     def _shaped(self, table, rows):
-        return rows.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[table]])
+        return rows.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[table]])
 
     def _writer(self, table, rows, number=None, highest=None, parts=("month_id",)):
         if table in MONTHLY:

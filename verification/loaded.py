@@ -4,6 +4,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from pyspark.sql import functions as F
+
+from ledgerloom.constants import HISTORY_SOURCE
 from ledgerloom.plans.daily import LoadConfig, load_feed
 from ledgerloom.session import scratch_folder
 from ledgerloom.sinks import Mart
@@ -35,3 +38,15 @@ def loaded(spark, folder):
         ]
         _loads[session, folder] = Load(*staged, Mart(spark, config.mart_root).tables())
     return _loads[session, folder]
+
+
+def loaded_twice(spark, folder):
+    """The store after a load of the history alone and one of both feeds, with invoice sketches."""
+    session = spark.sparkContext.applicationId
+    if (session, folder, 2) not in _loads:
+        config = LoadConfig(data_root=folder, mart_root=scratch_folder(spark), invoice_sketches=True)
+        rows = feed(spark, folder)
+        load_feed(spark, rows.filter(F.col("_source") == HISTORY_SOURCE), config, RUN_DATE)
+        load_feed(spark, rows, config, "2024-01-02")
+        _loads[session, folder, 2] = Mart(spark, config.mart_root)
+    return _loads[session, folder, 2]

@@ -295,7 +295,26 @@ def _pick(key, texts):
     return f"CASE ({key}) % {len(texts)} {cases} END"
 
 
+EXTRACT_LINES = """
+SELECT CASE WHEN k % 5 = 0 THEN short WHEN true AND k % 11 = 0 THEN short || rest || ',' ELSE short || rest END AS line,
+  k, l_orderkey, l_partkey, l_returnflag
+FROM (SELECT *, l_orderkey + l_linenumber AS k, ',1,12/1/2010 8:26,1.5,7,' || l_returnflag AS rest,
+  l_orderkey || ',P' || l_partkey || ',' ||
+  CASE WHEN (l_orderkey + l_linenumber) % 7 = 0 THEN '"a, ""b"", ' || l_partkey || '"' ELSE 'item ' || l_partkey END AS short
+  FROM lineitem)"""
+
 ORACLES = {
+    "overlong_rows": f"""
+SELECT line, 9 AS fields, 8 AS expected FROM ({EXTRACT_LINES}) WHERE k % 5 <> 0 AND k % 11 = 0""",
+    "extract_read": """
+SELECT cast(l_orderkey AS varchar) AS invoice_no,
+  CASE WHEN (l_orderkey + l_linenumber) % 7 = 0 THEN 'a, "b", ' || l_partkey ELSE 'item ' || l_partkey END AS description,
+  CASE WHEN (l_orderkey + l_linenumber) % 5 <> 0 THEN l_returnflag END AS country
+FROM lineitem""",
+    "sheet_counts": """
+SELECT 'sheet=' || strftime(l_shipdate, '%Y-%m') AS sheet, count(*) AS n,
+  count(*) FILTER (WHERE month(l_shipdate) % 3 <> 0) AS with_country
+FROM lineitem GROUP BY ALL""",
     "feed_union": _with("feed", "SELECT * FROM feed"),
     "null_tokens": _with(
         "lines",
@@ -418,6 +437,11 @@ UNION ALL
 SELECT *, 2 AS load_no FROM dim_date WHERE date_id NOT IN (SELECT date_id FROM old_dates)""",
     ),
     "merge_insert_facts": _with("merged_fact", f"SELECT {FACT_COLUMNS}, load_no FROM merged_fact"),
+    "store_insert_facts": _with("merged_fact", f"SELECT {FACT_COLUMNS}, load_no FROM merged_fact"),
+    "store_agg_refresh": _with(
+        "merged_fact",
+        f"SELECT {DAILY_COLUMNS} FROM ({_daily('merged_fact')})",
+    ),
     "agg_refresh": _with(
         "merged_fact",
         f"SELECT {DAILY_COLUMNS} FROM ({_daily('merged_fact')})",
@@ -447,6 +471,22 @@ WHERE customer_id NOT IN (SELECT customer_id FROM old_customers) GROUP BY ALL
 UNION ALL
 SELECT 'date_id', cast(date_id AS varchar), count(*) FROM fact
 WHERE date_id NOT IN (SELECT date_id FROM old_dates) GROUP BY ALL""",
+    ),
+    "gate_violations": _with(
+        "fact old_products old_customers old_dates",
+        """
+SELECT 'orphan:product_code' AS rule, count(DISTINCT product_code) AS keys, count(*) AS rows FROM fact
+WHERE product_code NOT IN (SELECT product_code FROM old_products) HAVING count(*) > 0
+UNION ALL
+SELECT 'orphan:customer_id', count(DISTINCT customer_id), count(*) FROM fact
+WHERE customer_id NOT IN (SELECT customer_id FROM old_customers) HAVING count(*) > 0
+UNION ALL
+SELECT 'orphan:date_id', count(DISTINCT date_id), count(*) FROM fact
+WHERE date_id NOT IN (SELECT date_id FROM old_dates) HAVING count(*) > 0
+UNION ALL
+SELECT 'duplicate:invoice_no,customer_id', count(*), cast(sum(n) AS bigint) FROM
+  (SELECT count(*) AS n FROM fact WHERE invoice_no IS NOT NULL AND customer_id IS NOT NULL
+   GROUP BY invoice_no, customer_id HAVING count(*) > 1) HAVING count(*) > 0""",
     ),
     "check_nulls": _with(
         "routed",
@@ -530,6 +570,32 @@ SELECT is_anonymous, CASE WHEN is_anonymous THEN 'Sin customer_id (ANONYMOUS)'
   {_money("cast(sum(quantity) AS double) / count(*)")} AS cantidad_promedio
 FROM fact f JOIN dim_customers c ON f.customer_id = c.customer_id
 WHERE transaction_type = 'SALE' GROUP BY is_anonymous ORDER BY is_anonymous""",
+    ),
+    "q4_countries_sketch": _with(
+        "merged_fact",
+        f"""
+SELECT country, count(*) AS num_lineas, {_money("sum(gross_revenue)")} AS revenue_total,
+  {_money("cast(sum(gross_revenue) AS double) / count(*)")} AS ticket_promedio_por_linea,
+  true AS facturas_cerca
+FROM merged_fact WHERE transaction_type = 'SALE' AND country IS NOT NULL GROUP BY country""",
+    ),
+    "q5_customer_segments_sketch": _with(
+        "merged_fact dim_customers",
+        f"""
+SELECT is_anonymous, CASE WHEN is_anonymous THEN 'Sin customer_id (ANONYMOUS)'
+    ELSE 'Cliente identificado' END AS tipo_cliente,
+  count(*) AS num_lineas, {_money("sum(gross_revenue)")} AS revenue_total,
+  {_money("cast(sum(gross_revenue) AS double) / count(*)")} AS ticket_promedio_linea,
+  {_money("cast(sum(quantity) AS double) / count(*)")} AS cantidad_promedio,
+  true AS facturas_cerca
+FROM merged_fact f JOIN dim_customers c ON f.customer_id = c.customer_id
+WHERE transaction_type = 'SALE' GROUP BY is_anonymous""",
+    ),
+    "q7_limits_sketch": _with(
+        "totals",
+        """
+SELECT unnest(['gross_revenue', 'tasa_devolucion_pct']) AS limite, n AS rows, true AS near
+FROM (SELECT count(*) AS n FROM totals WHERE sold >= 10)""",
     ),
     "q6a_product_count": _with(
         "dim_products",

@@ -16,13 +16,16 @@ from ledgerloom.functions import (
     strip,
     title_case,
 )
+from ledgerloom import sources
 from ledgerloom.operators import catalogue, checks, merge, metrics, star
+from ledgerloom.operators.percentile import RANK_ERROR
 from ledgerloom.operators.cleanse import normalise_code, normalise_customer
 from ledgerloom.operators.route import accepted, reject_entries, rejected
 from ledgerloom.plans import business, transform
 
 from .feed import feed, united_frames
-from .loaded import RUN_DATE, loaded
+from .extracts import broken_extract, many_sheets
+from .loaded import RUN_DATE, loaded, loaded_twice
 from .oracles import NUMBER_TEXTS, TOKEN_TEXTS
 
 
@@ -102,6 +105,28 @@ def route_reasons(spark, folder):
     )
 
 
+# Extracts, written from the given tables and read back ------------------------
+
+
+def overlong_rows(spark, folder):
+    """The lines of an extract that a read refuses."""
+    found = sources.overlong_rows(spark, broken_extract(spark, folder, overlong=True))
+    return found.select("line", F.col("fields").cast("int").alias("fields"), "expected")
+
+
+def extract_read(spark, folder):
+    """Two columns of an extract with short rows and separators in quotes."""
+    rows = sources.read_sales(spark, broken_extract(spark, folder, overlong=False))
+    return rows.select("invoice_no", "description", "country")
+
+
+def sheet_counts(spark, folder):
+    """Rows of each of many sheets with two kinds of headers."""
+    rows = sources.read_history(spark, many_sheets(spark, folder), name_sheets=True)
+    counts = rows.groupBy(F.col("_sheet").alias("sheet"))
+    return counts.agg(F.count("*").alias("n"), F.count("country").alias("with_country"))
+
+
 # Load results ----------------------------------------------------------------
 
 
@@ -247,6 +272,18 @@ def agg_refresh(spark, folder):
     return _daily_comparable(star.build_daily_revenue(_merged_facts(loaded(spark, folder))))
 
 
+def store_insert_facts(spark, folder):
+    """As ``merge_insert_facts``, but through the store: two loads, and what they published."""
+    facts = loaded_twice(spark, folder).facts_by_load()
+    return _comparable(facts.drop("transaction_id", "loaded_at", "month_id"))
+
+
+def store_agg_refresh(spark, folder):
+    """As ``agg_refresh``, but through the store: sums of the first load, and the second's added."""
+    daily = loaded_twice(spark, folder).read("agg_daily_revenue").drop("updated_at", "month_id")
+    return _daily_comparable(daily)
+
+
 def reject_append(spark, folder):
     load = loaded(spark, folder)
     first = reject_entries(rejected(_history(load)[0]), "2024-01-01")
@@ -284,6 +321,19 @@ def check_fk(spark, folder):
     return reduce(lambda a, b: a.unionByName(b), found)
 
 
+def gate_violations(spark, folder):
+    """What the gate of a load would refuse: facts of both feeds against the dimensions of the history, and repeated keys."""
+    load = loaded(spark, folder)
+    routed, kept = _history(load)
+    fact = star.build_fact(load.kept)
+    parents = {
+        "product_code": (catalogue.build_products(routed), "product_code"),
+        "customer_id": (_stored_customers(spark, kept), "customer_id"),
+        "date_id": (star.build_dates(kept), "date_id"),
+    }
+    return checks.key_violations(fact, ["invoice_no", "customer_id"], parents)
+
+
 def check_nulls(spark, folder):
     rows = loaded(spark, folder).routed
     spelled = rows.withColumn("spelling", F.nullif(strip(F.col("description")), F.lit("")))
@@ -317,6 +367,49 @@ def q6b_variants(spark, folder):
     return business.q6b_variants(variants)
 
 
+# Invoices within five standard errors of a sketch, which all but surely holds.
+NEAR = 5 * star.SKETCH_ERROR
+
+
+def _near(sketched, exact, keys):
+    """The sketched answer, its invoices replaced by whether they are near the exact ones."""
+    other = exact.select(*keys, F.col("num_facturas").alias("exact"))
+    close = F.abs(F.col("num_facturas") - F.col("exact")) <= F.ceil(NEAR * F.col("exact"))
+    invoice = [c for c in sketched.columns if c.endswith("factura")]
+    return sketched.join(other, keys).withColumn("facturas_cerca", close).drop("exact", "num_facturas", *invoice)
+
+
+def q4_countries_sketch(spark, folder):
+    mart = loaded_twice(spark, folder)
+    sketched = business.q4_countries_sketch(mart.read("agg_daily_invoices"))
+    return _comparable(_near(sketched, business.q4_countries(mart.tables()), ["country"]))
+
+
+def q5_customer_segments_sketch(spark, folder):
+    mart = loaded_twice(spark, folder)
+    sketched = business.q5_customer_segments_sketch(mart.read("agg_daily_invoices"))
+    return _comparable(_near(sketched, business.q5_customer_segments(mart.tables()), ["is_anonymous"]))
+
+
+def q7_limits_sketch(spark, folder):
+    """Whether the ranks of the sketched limits are as near as promised: (limit, rows, near)."""
+    tables = loaded(spark, folder).tables
+    limits = business.q7_limits_sketch(tables)
+    totals = business._review_totals(tables, 10)
+
+    def checked(name):
+        limit = limits.select(F.col(name).cast("double")).scalar()
+        value = F.col(name).cast("double")
+        found = totals.agg(
+            F.count("*").alias("rows"), F.count_if(value < limit).alias("below"), F.count_if(value <= limit).alias("upto")
+        )
+        slack = F.ceil(RANK_ERROR * F.col("rows")) + 1
+        near = (F.col("below") <= 0.75 * F.col("rows") + slack) & (F.col("upto") >= 0.75 * F.col("rows") - slack)
+        return found.select(F.lit(name).alias("limite"), "rows", near.alias("near"))
+
+    return checked("gross_revenue").unionByName(checked("tasa_devolucion_pct"))
+
+
 QUERIES = {
     "feed_union": feed_union,
     "null_tokens": null_token_texts,
@@ -343,6 +436,15 @@ QUERIES = {
     "merge_insert_facts": merge_insert_facts,
     "agg_refresh": agg_refresh,
     "reject_append": reject_append,
+    "overlong_rows": overlong_rows,
+    "extract_read": extract_read,
+    "sheet_counts": sheet_counts,
+    "store_insert_facts": store_insert_facts,
+    "store_agg_refresh": store_agg_refresh,
+    "gate_violations": gate_violations,
+    "q4_countries_sketch": q4_countries_sketch,
+    "q5_customer_segments_sketch": q5_customer_segments_sketch,
+    "q7_limits_sketch": q7_limits_sketch,
     "check_keys": check_keys,
     "check_fk": check_fk,
     "check_nulls": check_nulls,
