@@ -7,19 +7,23 @@ each chunk that a worker has not seen lately is split by the tokenizer's own
 pattern, and the new words of a batch are merged together: their symbols lie in
 one flat array, every round finds the rank of each neighbouring pair by binary
 search over the sorted pair keys, and each word merges its lowest-ranked pair
-wherever it stands. Words without a known pair leave the array.
+wherever it stands. Words without a known pair leave the array. A word of more
+than ``LONG_WORD`` characters would need a round for each of its merges; it is
+merged by a queue of its pairs instead, with the same result.
 
 Decoding gathers the tokens' bytes and reads them as UTF-8 (invalid parts
 become replacement characters, as in the library).
 
 Defined cases: a null text is an empty one, with no tokens; a special token's
-string in a text becomes that token; repeated rows get equal ids; chunks of any
-length are merged the same way; an empty table gives an empty result; further
+string in a text becomes that token; repeated rows get equal ids; words of any
+length are merged whole; an empty table gives an empty result; further
 columns are not read by the query. :func:`encode_documents` names its columns
 after those given to it and refuses clashes.
 """
 
+import functools
 import hashlib
+import heapq
 import json
 
 import numpy as np
@@ -41,6 +45,8 @@ LOOSE = regex.compile(r" \p{White_Space}|\p{White_Space} |\A | \Z")
 CACHED_CHARS = 1 << 23
 WORDS_AT_ONCE = 1 << 15
 NONE = np.iinfo(np.int64).max
+# Characters above which a word is merged by a queue instead of rounds.
+LONG_WORD = 256
 
 
 def byte_letters() -> dict[str, int]:
@@ -122,6 +128,53 @@ class Bpe:
         ends = 4 * np.searchsorted(owner[order], np.arange(len(words) + 1))
         return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
+    @functools.cached_property
+    def pairs(self):
+        """Rank and merged symbol of each pair that merges."""
+        return dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.merged.tolist())))
+
+    def merge_long(self, word: bytes) -> bytes:
+        """Token ids of one long word, by a queue of its pairs.
+
+        A round over all symbols per merge would take the square of the word's
+        length; this takes the lowest rank, and of equal ones the leftmost,
+        from a heap, which gives the same merges in the same order.
+        """
+        symbols = self.first[np.frombuffer(word, np.uint8)]
+        pair = symbols[:-1] << 32 | symbols[1:]
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        known = np.flatnonzero(self.keys[at] == pair)
+        # A heap entry is rank and place in one number.
+        queue = (self.ranks[at[known]] << 40 | known).tolist()
+        heapq.heapify(queue)
+        symbols = symbols.tolist()
+        n, place = len(symbols), (1 << 40) - 1
+        after, ahead = list(range(1, n + 1)), list(range(-1, n - 1))
+        pairs = self.pairs
+        while queue:
+            entry = heapq.heappop(queue)
+            i = entry & place
+            j = after[i]
+            # Entries of pairs that have changed since are stale.
+            if symbols[i] < 0 or j >= n:
+                continue
+            found = pairs.get(symbols[i] << 32 | symbols[j])
+            if found is None or found[0] != entry >> 40:
+                continue
+            symbols[i], symbols[j] = found[1], -1
+            k = after[i] = after[j]
+            if k < n:
+                ahead[k] = i
+                new = pairs.get(symbols[i] << 32 | symbols[k])
+                if new is not None:
+                    heapq.heappush(queue, new[0] << 40 | i)
+            h = ahead[i]
+            if h >= 0:
+                new = pairs.get(symbols[h] << 32 | symbols[i])
+                if new is not None:
+                    heapq.heappush(queue, new[0] << 40 | h)
+        return np.array([s for s in symbols if s >= 0], "<u4").tobytes()
+
     def learn(self, chunks: set[str]):
         """Encode chunks that the cache lacks."""
         if self.cached > CACHED_CHARS:
@@ -129,7 +182,8 @@ class Bpe:
         new = [c for c in chunks if c not in self.cache]
         split = [SPLIT.findall(c) for c in new]
         words = list(dict.fromkeys(w for part in split for w in part))
-        ids = {}
+        ids = {w: self.merge_long(w.encode()) for w in words if len(w) > LONG_WORD}
+        words = [w for w in words if w not in ids]
         for at in range(0, len(words), WORDS_AT_ONCE):
             some = words[at : at + WORDS_AT_ONCE]
             ids.update(zip(some, self.merge([w.encode() for w in some])))

@@ -41,6 +41,8 @@ HEADERS = ("header", 'div class="header"', 'div id="header"', 'div class="masthe
 FOOTERS = ("footer", 'div class="footer"', 'div id="footer"', 'div class="copyright"', 'footer class="site-footer"')
 FORMS = ("form", 'form class="search"', 'form id="login"', 'form class="comment-form respond"', 'fieldset')
 HEADINGS = ("h2", "h3", "h4")
+MARKS = ("|", "|", "·", "©", "#", "*")
+MARKED = 0.12
 
 
 class Draw:
@@ -58,6 +60,9 @@ class Draw:
 
     def sentences(self, least, most):
         texts = [self.words(self.some(1, 16)).capitalize() + "." for _ in range(self.some(least, most))]
+        if self.random.random() < MARKED:  # marks stand in articles too
+            mark = self.one(MARKS)
+            texts = [f" {mark} ".join(self.words(self.some(1, 4)) for _ in range(self.some(2, 8))), *texts[1:]]
         return " ".join(texts)
 
     def wrap(self, element, inside):

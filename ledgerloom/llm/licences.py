@@ -13,6 +13,7 @@ best covered, then the earliest); repeated rows report alike; an empty table
 gives an empty result; further columns are not read.
 """
 
+import bisect
 import functools
 
 import numpy as np
@@ -115,14 +116,12 @@ def index():
     return names, kept[order], template[order], (places - before[template])[order], words
 
 
-def align(template, text, band):
+def align(template, text, width):
     """Best alignment of the whole template with a part of text: matches, start, end (words).
 
-    Text word j may meet template word i only for 0 <= j - i <= 2 * band, where
-    the text begins ``band`` words before the expected place.
+    Text word j may meet template word i only for 0 <= j - i < width.
     """
     lowest = -(10**9)
-    width = 2 * band + 1
     # Row: score, matches, start for each offset d = j - i, 0 <= d < width; starting is free.
     row = [(0, 0, d) for d in range(width + 1)]
     for i, word in enumerate(template):
@@ -160,23 +159,30 @@ def matches(column):
     place = np.repeat(places[hit], counts)
     text = np.searchsorted(before, place, side="right") - 1
     candidates = sorted(set(zip(text.tolist(), templates[entry].tolist(), (place - at[entry]).tolist())))
-    out, done = [], None
+    out, group = [], None
     for t, k, diagonal in candidates:
         band = max(4, len(words[k]) // 8)
-        # A neighbouring diagonal inside the band of one just aligned says nothing new.
-        if done is not None and done[:2] == (t, k) and diagonal - done[2] <= band // 2:
+        # Neighbouring diagonals share one alignment, whose band holds the whole band of each of
+        # them: nothing that an alignment of its own would find is lost, and what starts so close
+        # together overlaps, so that only the best of it is reported anyway.
+        if group is not None and group[:2] == (t, k) and diagonal - group[2] <= band // 2:
             continue
-        done = (t, k, diagonal)
+        group = (t, k, diagonal)
+        width = 2 * band + band // 2 + 1
         a = max(int(before[t]), diagonal - band)
-        b = min(int(before[t + 1]), diagonal + len(words[k]) + band + 1)
+        b = min(int(before[t + 1]), diagonal - band + len(words[k]) + width)
         # Where the text begins inside the band, words that match nothing fill it up.
         missing = a - (diagonal - band)
-        hits, start, end = align(words[k], [-1] * missing + hashes[a:b].tolist(), band)
+        hits, start, end = align(words[k], [-1] * missing + hashes[a:b].tolist(), width)
         if hits >= COVERAGE * len(words[k]):
             out.append((t, k, hits, a + max(start - missing, 0), a + end - missing))
-    best = []
+    best, spans = [], {}
     for row in sorted(out, key=lambda r: (r[0], r[1], -r[2], r[3])):
-        if not any(r[:2] == row[:2] and r[3] < row[4] and row[3] < r[4] for r in best[-50:]):
+        # Spans of one text and template, sorted and apart: only the neighbours can overlap.
+        taken = spans.setdefault(row[:2], [])
+        at_ = bisect.bisect(taken, (row[3], row[4]))
+        if (at_ == 0 or taken[at_ - 1][1] <= row[3]) and (at_ == len(taken) or row[4] <= taken[at_][0]):
+            taken.insert(at_, (row[3], row[4]))
             best.append(row)
     return [(t, names[k], hits, len(words[k]), int(starts[a]), int(ends[b - 1])) for t, k, hits, a, b in best], data, offsets
 

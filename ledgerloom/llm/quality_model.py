@@ -205,7 +205,8 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame, threshold=THRESHOLD) ->
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
-        return pa.array(model.score(text), pa.float64())
+        batch = pa.RecordBatch.from_arrays([text], ["text"])
+        return pa.array(np.concatenate([[], *[model.score(p.column(0)) for p in pieces([batch])]]), pa.float64())
 
     return docs.where(score(F.col("text")) >= threshold)
 

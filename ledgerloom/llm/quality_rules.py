@@ -2,13 +2,9 @@
 
 Lines are normalised (A-Z lower-cased, white space collapsed) and hashed. A
 line's frequency in a host is the number of distinct documents with it, where
-documents that also agree in one of their other lines count as one: so copies,
-exact or near, do not make each other's lines frequent, while a notice below
-many different texts is counted in full. That other line is the lowest by MD5;
-a second count takes the highest, and the larger count holds, so that several
-notices which stand together do not hide each other: for that, one would have to
-be lower and another higher than nearly all lines of the host. Lines above the limits (more
-than ``MIN_DOCS`` documents and more than ``SHARE`` of the host's distinct
+documents with equal texts count as one, so that exact copies do not make each
+other's lines frequent (near copies count one by one). Lines above the limits
+(more than ``MIN_DOCS`` documents and more than ``SHARE`` of the host's distinct
 texts) are removed, and a document that keeps less than ``LEAST_LEFT`` of its
 words is rejected as depleted.
 
@@ -51,7 +47,7 @@ LEAST_LEFT = 5  # one word in so many
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
-LINES = pa.list_(pa.struct([(n, pa.int64()) for n in ("line", "words", "low", "high")]))
+LINES = pa.list_(pa.struct([(n, pa.int64()) for n in ("line", "words")]))
 
 
 def per_text(values, places):
@@ -82,22 +78,16 @@ def repeated_words(hashes, before):
 
 
 def lines_of(text: bytes):
-    """Repeated lines, and each distinct normalised line with its words and its lowest and highest other line."""
+    """The number of repeated lines, and each distinct normalised line's hash with its words."""
     found = [x for x in text.split(b"\n") if x.strip()]
     sizes = {}
     for line in found:
         words = line.lower().split()
         key = b" ".join(words)
         sizes[key] = sizes.get(key, 0) + len(words)
-    places = sorted((hashlib.md5(key, usedforsecurity=False).digest(), n) for key, n in sizes.items())
-    lines = [(int.from_bytes(digest[:8], "big", signed=True), n) for digest, n in places]
-    marks = [line for line, _ in lines]
-    last = len(lines) - 1
     rows = [
-        {"line": line, "words": n, "low": marks[i == 0], "high": marks[last - (i == last)]}
-        if last
-        else {"line": line, "words": n, "low": 0, "high": 0}
-        for i, (line, n) in enumerate(lines)
+        {"line": int.from_bytes(hashlib.md5(key, usedforsecurity=False).digest()[:8], "big", signed=True), "words": n}
+        for key, n in sizes.items()
     ]
     return len(found) - len(set(found)), rows
 
@@ -136,7 +126,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
     kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in others]
     kinds += [f"{m} long" for m in MEASURES]
-    lines = "lines array<struct<line: long, words: long, low: long, high: long>>"
+    lines = "lines array<struct<line: long, words: long>>"
     return docs.mapInArrow(work, ", ".join([*kinds, lines]))
 
 
@@ -152,11 +142,9 @@ def judged(docs: DataFrame) -> DataFrame:
     )
     rows = measured(rows).withColumn("row_id", F.monotonically_increasing_id())
     rows = staged(rows, "measured")
-    lines = rows.select("row_id", "host", F.inline("lines"))
+    lines = rows.select("row_id", "host", "digest", F.inline("lines"))
     texts = rows.groupBy("host").agg(F.count_distinct("digest").alias("texts"))
-    others = lines.select("host", "line", F.posexplode(F.array("low", "high")).alias("end", "other"))
-    counts = others.groupBy("host", "line", "end").agg(F.count_distinct("other").alias("n"))
-    counts = counts.groupBy("host", "line").agg(F.max("n").alias("n"))
+    counts = lines.groupBy("host", "line").agg(F.count_distinct("digest").alias("n"))
     frequent = counts.where(F.col("n") > MIN_DOCS).join(texts, "host")
     frequent = frequent.where(F.col("n") * SHARE > F.col("texts")).select("host", "line")
     removed = lines.join(frequent, ["host", "line"]).groupBy("row_id").agg(
@@ -212,16 +200,8 @@ WITH docs AS (
   SELECT rid, count(*) - count(DISTINCT line) AS n FROM raw_lines GROUP BY rid
 ), lines AS (
   SELECT rid, host, norm, sum(len(regexp_extract_all(norm, '[^ ]+'))) AS words FROM raw_lines GROUP BY ALL
-), ranked AS (
-  SELECT *, md5(norm) AS mark, first_value(md5(norm)) OVER up AS low, coalesce(nth_value(md5(norm), 2) OVER up, '') AS low2,
-         first_value(md5(norm)) OVER down AS high, coalesce(nth_value(md5(norm), 2) OVER down, '') AS high2
-  FROM lines
-  WINDOW up AS (PARTITION BY rid ORDER BY md5(norm) ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING),
-         down AS (PARTITION BY rid ORDER BY md5(norm) DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 ), counts AS (
-  SELECT host, norm, greatest(count(DISTINCT CASE WHEN mark = low THEN low2 ELSE low END),
-                              count(DISTINCT CASE WHEN mark = high THEN high2 ELSE high END)) AS n
-  FROM ranked GROUP BY host, norm
+  SELECT host, norm, count(DISTINCT text) AS n FROM lines JOIN docs USING (rid, host) GROUP BY host, norm
 ), frequent AS (
   SELECT host, norm FROM counts JOIN (SELECT host, count(DISTINCT text) AS texts FROM docs GROUP BY host) USING (host)
   WHERE n > 20 AND n * 200 > texts

@@ -3,8 +3,8 @@
 The rules' 64-bit digests lie sorted in one file with the rules' full strings
 behind them. Every task maps that file into memory, so workers of a machine
 share its pages, and probes it with a binary search over all candidates of a
-batch at once: each host suffix of a url with each path prefix of a length that
-some rule has. A digest that is found counts only if the stored string is equal
+batch at once: each host suffix and each path prefix of a url that is as long
+as that of some rule. A digest that is found counts only if the stored string is equal
 as well. The file goes to executors through Spark's file distribution, from the
 shared folder.
 
@@ -45,7 +45,7 @@ PROBES = 200_000
 def rule_file(rules) -> bytes:
     """Sorted digests, string starts, verdicts, path lengths and strings, one behind the other.
 
-    Header: number of rules, number of path lengths, bytes of strings (int64).
+    Header: numbers of rules, of path lengths and of host lengths, bytes of strings (int64).
     A rule's string is host + a zero byte + path, so hosts and paths cannot mix.
     """
     verdicts = {}
@@ -56,9 +56,10 @@ def rule_file(rules) -> bytes:
     starts = np.cumsum([0, *map(len, keys)]).astype(np.int64)
     # Prefixes are cut from paths as characters, hence lengths in characters.
     lengths = np.unique([len(k.split(b"\0", 1)[1].decode()) for k in keys]).astype(np.int64)
+    hosts = np.unique([len(k.split(b"\0", 1)[0].decode()) for k in keys]).astype(np.int64)
     blocked = np.array([verdicts[k] for k in keys], np.int64)
-    head = np.array([len(keys), len(lengths), starts[-1]], np.int64)
-    arrays = (head, digests, starts, blocked, lengths)
+    head = np.array([len(keys), len(lengths), len(hosts), starts[-1]], np.int64)
+    arrays = (head, digests, starts, blocked, lengths, hosts)
     return b"".join([*(a.tobytes() for a in arrays), *keys])
 
 
@@ -66,14 +67,15 @@ class RuleArray:
     """The mapped file and its binary search."""
 
     def __init__(self, path):
-        words = np.memmap(path, np.int64, "r", shape=(3,))
-        n, m, size = (int(x) for x in words)
-        at = 24
+        words = np.memmap(path, np.int64, "r", shape=(4,))
+        n, m, h, size = (int(x) for x in words)
+        at = 32
         self.digests = self._part(path, np.uint64, at, n)
         self.starts = self._part(path, np.int64, at + 8 * n, n + 1)
         self.blocked = self._part(path, np.int64, at + 16 * n + 8, n)
         self.lengths = self._part(path, np.int64, at + 24 * n + 8, m)
-        self.strings = self._part(path, np.uint8, at + 24 * n + 8 + 8 * m, size)
+        self.hosts = self._part(path, np.int64, at + 24 * n + 8 + 8 * m, h)
+        self.strings = self._part(path, np.uint8, at + 24 * n + 8 + 8 * (m + h), size)
 
     @staticmethod
     def _part(path, kind, at, count):
@@ -99,19 +101,22 @@ class RuleArray:
         return self.strings[self.starts[j] : self.starts[j + 1]].tobytes().decode()
 
 
-def candidates(host, path, lengths):
-    """Rule strings that could fit, with the length of host and path together."""
-    suffix = host
-    while suffix:
-        for n in lengths:
-            if n <= len(path):
-                yield f"{suffix}\0{path[:n]}".encode()
-        suffix = suffix.partition(".")[2]
+def candidates(host, path, host_lengths, path_lengths):
+    """Rule strings that could fit: whole labels at the host's end and starts of the path, of lengths rules have.
+
+    However long a url is, what is cut from it is no longer than the rules.
+    """
+    for h in host_lengths:
+        if h == len(host) or (0 < h < len(host) and host[-h - 1] == "."):
+            suffix = host[len(host) - h :]
+            for n in path_lengths:
+                if n <= len(path):
+                    yield f"{suffix}\0{path[:n]}".encode()
 
 
 def judge(rules: RuleArray, hosts, paths, default):
     best = [(-1, -1, -1)] * len(hosts)
-    lengths = [int(n) for n in rules.lengths]
+    lengths = rules.hosts.tolist(), rules.lengths.tolist()
 
     def probe(keys, owners):
         for owner, j in zip(owners, rules.find(keys)):
@@ -121,7 +126,7 @@ def judge(rules: RuleArray, hosts, paths, default):
 
     keys, owners = [], []
     for i, (host, path) in enumerate(zip(hosts, paths)):
-        for key in candidates(host, path, lengths):
+        for key in candidates(host, path, *lengths):
             keys.append(key)
             owners.append(i)
         if len(keys) >= PROBES:

@@ -1,6 +1,7 @@
 """Results of the registered queries against brute force, other libraries and SQL."""
 
 import hashlib
+import html
 import re
 import zlib
 
@@ -137,10 +138,10 @@ def test_main_text_of_the_given_pages(spark, folder_):
     right = 0
     for page_id, page in pages.html.items():
         article = re.search(r"<article>(.*)</article>", page, re.S).group(1)
-        plain = " ".join(re.sub(r"<[^>]*>", " ", article).split())
+        plain = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", article)).split())
         right += found.text[page_id] == plain
         assert found.n_chars[page_id] == len(found.text[page_id])
-    assert right >= 0.95 * len(pages)
+    assert right >= 0.99 * len(pages)
 
 
 def test_main_text_of_held_out_layouts():
