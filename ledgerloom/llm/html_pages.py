@@ -42,7 +42,7 @@ FOOTERS = ("footer", 'div class="footer"', 'div id="footer"', 'div class="copyri
 FORMS = ("form", 'form class="search"', 'form id="login"', 'form class="comment-form respond"', 'fieldset')
 HEADINGS = ("h2", "h3", "h4")
 MARKS = ("|", "|", "·", "©", "#", "*")
-MARKED = 0.12
+MARKED = 0.2
 
 
 class Draw:
