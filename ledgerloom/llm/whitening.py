@@ -19,8 +19,8 @@ found, certify that it is the k-th.
 Defined cases: rows with a null vector or with null or non-finite entries are
 dropped; shorter vectors count as padded with zeros; a null id is carried on;
 repeated rows count as often as they occur and get equal results; components
-whose eigenvalue is nothing but rounding (under ``NOTHING`` of the trace) cannot
-be whitened and are left out, so constant vectors and empty tables give no row.
+whose eigenvalue is too small to be told from rounding (under ``NOTHING`` of the
+trace) cannot be whitened and are left out, so constant vectors and empty tables give no row.
 Entries that do not fit a double's whole numbers stop the job, a deviation that
 does not fit a long is null. Other columns are not read.
 """
@@ -37,8 +37,8 @@ from ledgerloom.llm.hard_negatives import usable, vectors_of
 
 COMPONENTS = 8
 SCALE, SHIFT = 1024, 100_000
-# Share of the trace below which an eigenvalue is rounding only.
-NOTHING = 1e-12
+# Share of the trace below which rounding leaves an eigenvalue less than four sure digits.
+NOTHING = 1e-9
 WHOLE = 2.0**53
 
 
@@ -160,8 +160,9 @@ def quotient_iteration(matrix, vector, found, low, high):
         return v / np.linalg.norm(v)
 
     vector = cleaned(vector)
-    eye, error = np.eye(len(matrix)), rounding(matrix)
-    shift = (low + high) / 2
+    # What is orthogonal to vectors with errors of their own carries those errors too.
+    eye, error = np.eye(len(matrix)), rounding(matrix) * (1 + found.shape[1] ** 0.5)
+    shift, reached = (low + high) / 2, None
     for step in range(40):
         try:
             solved = np.linalg.solve(matrix - shift * eye, vector)
@@ -171,27 +172,31 @@ def quotient_iteration(matrix, vector, found, low, high):
         value = vector @ matrix @ vector
         inside = low - error <= value <= high + error
         if step > 3 and not inside:
-            return None
-        if inside and np.linalg.norm(matrix @ vector - value * vector) <= error:
-            return value, vector
+            return None if reached is None else reached[1:]
+        residual = np.linalg.norm(matrix @ vector - value * vector)
+        if reached is not None and residual >= reached[0]:
+            return reached[1:]
+        if inside and residual <= error:
+            if residual <= error / 64:
+                return value, vector
+            reached = residual, value, vector  # go on while that helps
         if step >= 3:
             shift = value
-    return None
+    return None if reached is None else reached[1:]
 
 
 def leading_pairs(matrix, wanted):
     """The ``wanted`` largest eigenvalues, falling, with unit eigenvectors, certified by counts."""
     n = len(matrix)
     scale = np.abs(matrix).sum(axis=1).max()
-    narrow = 4 * rounding(matrix)
+    narrow = 4 * rounding(matrix) * (1 + wanted**0.5)
     values, vectors = [], np.zeros((n, 0))
     start = np.random.default_rng(0).standard_normal((n, wanted))
     for k in range(1, wanted + 1):
         # Invariant: count above low >= k, count above high < k.
         low, high = -scale - narrow, values[-1] + narrow if values else scale + narrow
         above_low, above_high = n, count_above(matrix, high)
-        pair = None
-        while pair is None:
+        while True:
             while high - low > narrow and (above_low != k or above_high != k - 1):
                 middle = (low + high) / 2
                 count = count_above(matrix, middle)
@@ -200,17 +205,19 @@ def leading_pairs(matrix, wanted):
                 else:
                     high, above_high = middle, count
             pair = quotient_iteration(matrix, start[:, k - 1], vectors, low, high)
-            if pair is None:
-                if high - low <= narrow:
-                    raise ArithmeticError(f"eigenvalue {k} was isolated but not reached")
-                middle = (low + high) / 2
-                count = count_above(matrix, middle)
-                low, above_low, high, above_high = (
-                    (middle, count, high, above_high) if count >= k else (low, above_low, middle, count)
-                )
-        value, vector = pair
-        if not count_above(matrix, value + narrow) < k <= count_above(matrix, value - narrow):
-            raise ArithmeticError(f"eigenvalue {k} is not certified by its counts")
+            if pair is not None:
+                value, vector = pair
+                # A neighbour at the very end of the interval is not the k-th: the counts tell.
+                if count_above(matrix, value + narrow) < k <= count_above(matrix, value - narrow):
+                    break
+            if high - low <= narrow:
+                raise ArithmeticError(f"eigenvalue {k} was isolated but not reached")
+            middle = (low + high) / 2
+            count = count_above(matrix, middle)
+            if count >= k:
+                low, above_low = middle, count
+            else:
+                high, above_high = middle, count
         values.append(value)
         vectors = np.column_stack([vectors, vector])
     return np.array(values), vectors
@@ -235,9 +242,8 @@ def whitened(rows: DataFrame, components: int = COMPONENTS) -> DataFrame:
     if not trace:
         return None, []
     matrix = (covariance / (n * n)).astype(np.float64)  # each entry rounded once
-    values, vectors = leading_pairs(matrix, min(components, width))
-    real = values > NOTHING * (trace / (n * n))
-    values, vectors = values[real], vectors[:, real]
+    real = count_above(matrix, NOTHING * (trace / (n * n)))
+    values, vectors = leading_pairs(matrix, min(components, width, real))
     shares = [float(Fraction(v) * n * n / trace) for v in values]
     projection = vectors / np.sqrt(values)
     # n * x - S without overflow: x and S are taken against the rounded mean first.
