@@ -163,11 +163,31 @@ def judged(docs: DataFrame) -> DataFrame:
     )
 
 
+def passes_base(column):
+    """Whether each text of a string array passes the base rules."""
+    data, offsets = utf8(column)
+    starts, ends, before = word_spans(data, offsets)
+    words = np.diff(before)
+    repeated = repeated_words(word_hashes(data, starts, ends), before)
+    return (words >= LEAST_WORDS) & (100 * repeated <= MOST_REPEATED * words)
+
+
 def drop_rejected(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep."""
-    rejected = judged(docs).where("NOT kept").select("key").distinct()
-    rows = packed(docs, row_key("doc_id", "text", "source").alias("key"))
-    return rows.join(staged(rejected, "rejected"), "key", "left_anti").select("row.*")
+    """The rows of ``docs`` that the rules keep.
+
+    The base rules are looked at again where a row is, so that only the few
+    depleted documents have to be found by a join.
+    """
+    depleted = judged(docs).where("NOT kept AND NOT base_failed").select("key").distinct()
+
+    @F.arrow_udf("boolean")
+    def passes(text: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text], ["text"])
+        parts = [passes_base(piece.column(0)) for piece in pieces([batch])]
+        return pa.array(np.concatenate([np.zeros(0, bool), *parts]), pa.bool_())
+
+    rows = packed(docs.where(passes(F.col("text"))), row_key("doc_id", "text", "source").alias("key"))
+    return rows.join(staged(depleted, "depleted"), "key", "left_anti").select("row.*")
 
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
