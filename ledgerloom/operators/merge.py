@@ -29,6 +29,22 @@ def upsert(stored, new, keys, update):
     return joined.select(*[merged(name) for name in stored.columns])
 
 
+def changed_rows(stored, new, keys, compare):
+    """Rows of ``new`` that are not stored yet or differ from the stored row in a column of ``compare``.
+
+    Keys are unique on both sides.
+    """
+    old = stored.select(*keys, *compare, F.lit(True).alias("_old")).alias("old")
+    same = reduce(and_, [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in compare])
+    joined = new.alias("new").join(old, _match(keys), "left")
+    return joined.filter(F.col("_old").isNull() | ~same).select("new.*")
+
+
+def key_part(keys, parts):
+    """The part, from 0 to ``parts`` - 1, that a row belongs to by the hash of its key."""
+    return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+
+
 def absent_rows(stored, new, keys, order=None, null_safe=False):
     """Rows of ``new`` to insert: one per key, and only keys not stored yet.
 

@@ -13,11 +13,11 @@ from ..operators.catalogue import category_histogram, choose_names, products_fro
 from ..operators.checks import count_failures, fact_rules, orphan_counts
 from ..operators.merge import (
     absent_rows,
+    changed_rows,
     in_range,
     key_columns,
     key_names,
     unknown_keys,
-    upsert,
     with_surrogate_key,
 )
 from ..operators.metrics import run_metrics, sheet_counts
@@ -40,7 +40,7 @@ from .transform import keep, route
 log = logging.getLogger(__name__)
 
 FACT_KEY = ["invoice_no", "product_code", "source"]
-STAGED = ["routed", "kept", "names", "new_facts"]
+STAGED = ["routed", "kept", "names", "new_facts", "products"]
 
 
 class ConstraintError(ValueError):
@@ -69,6 +69,8 @@ class LoadConfig:
     strict: bool = True
     refresh_all_days: bool = False
     keep_staging: bool = False
+    # Stamp every product of the feed as updated; otherwise only products that are new or changed are written.
+    restamp_products: bool = True
     # Also keep invoice sketches per day, so that invoices are counted without reading facts.
     invoice_sketches: bool = False
     # Files over which the keys of all facts are spread; fixed once a store has been loaded.
@@ -115,7 +117,7 @@ def load_feed(spark, feed, config, run_date):
     rejects = with_canonical(rejected(staged.routed), staged.names.drop("accepted"))
     with ThreadPoolExecutor(4) as pool:
         jobs = {
-            "dim_products": pool.submit(load_products, mart, staged.names),
+            "dim_products": pool.submit(load_products, mart, staged.names, config, run_date),
             "dim_customers": pool.submit(load_customers, mart, staged.kept),
             "dim_date": pool.submit(load_dates, mart, staged.kept),
             "reject_log": pool.submit(load_rejects, mart, rejects, run_date, config.rejects),
@@ -216,20 +218,18 @@ def _report(violations, strict):
         raise ConstraintError(f"rows that do not fit the fact table: {blocking}")
 
 
-def load_products(mart, names):
-    """Update or insert: name and category follow the newest feed."""
+def load_products(mart, names, config, run_date):
+    """Update or insert: name and category follow the newest feed. Returns how many products that were."""
     now = F.current_timestamp()
     fresh = products_from(names).withColumns(
         {"is_active": F.lit(True), "created_at": now, "updated_at": now}
     )
-    merged = upsert(
-        mart.read("dim_products"),
-        fresh,
-        ["product_code"],
-        update=["canonical_name", "category", "updated_at"],
-    )
-    mart.replace("dim_products", merged)
-    return names.filter("accepted").count()
+    described = ["canonical_name", "category"]
+    if not config.restamp_products:
+        fresh = changed_rows(mart.read("dim_products"), fresh, ["product_code"], described)
+        fresh = _staged(fresh, config.staging("products", run_date))
+    mart.merge("dim_products", fresh, ["product_code"], [*described, "updated_at"])
+    return (names.filter("accepted") if config.restamp_products else fresh).count()
 
 
 def load_customers(mart, kept):

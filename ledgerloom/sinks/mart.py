@@ -6,9 +6,11 @@ version for each load that changed the month. Readers take published loads only
 of all facts lie in a table of their own, bucketed and sorted by key, so that a
 load finds stored keys without moving them.
 
-Customers, dates and rejects are added to one folder. Products are rewritten as
-a new version beside the one being read; readers take the newest version that
-Spark has marked complete. One writer at a time.
+Customers, dates and rejects are added to one folder. Products lie in a fixed
+number of parts by the hash of their key. A merge writes the parts it touches as
+one new version beside those being read; readers take each part from the newest
+version that has it, and only versions that Spark has marked complete. One
+writer at a time.
 """
 
 import hashlib
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import month_id
-from ..operators.merge import anonymous_customer, with_surrogate_key
+from ..operators.merge import anonymous_customer, key_part, upsert, with_surrogate_key
 from ..schemas import OPTIONAL_TABLES, TABLES
 from .ledger import Files, Ledger
 
@@ -30,6 +32,8 @@ BY_MONTH = [DAILY, INVOICES]
 MONTHLY = [FACTS, *BY_MONTH]
 SCHEMAS = TABLES | OPTIONAL_TABLES
 REWRITTEN = ["dim_products"]
+# Parts of a rewritten table: fixed, as stored rows are found by it.
+PARTS = 32
 KEYS = "_fact_keys"
 # Readers trust the marker of a finished write, so it must not be switched off.
 MARK = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
@@ -65,10 +69,10 @@ class Mart:
         """The stored rows; an empty frame while nothing is stored."""
         if table in BY_MONTH:
             return self._read_folders(table, self._month_versions(table).values()).drop("load_no")
-        folder = self.path(table)
         if table in REWRITTEN:
-            folder = max(self._versions(table), default=None)
-        if folder is None or not self._exists(folder):
+            return self._read_parts(table)
+        folder = self.path(table)
+        if not self._exists(folder):
             return self._nothing(self._stored_schema(table)).drop("load_no")
         if table == FACTS:
             return self.facts_by_load().drop("load_no")
@@ -120,6 +124,40 @@ class Mart:
         chosen = [versions[m] for m in months if m in versions]
         return self._read_folders(table, chosen).drop("load_no", "month_id")
 
+    def _read_parts(self, table, parts=None):
+        """Rows of a rewritten table, or of some of its parts; the others are not opened."""
+        whole, found = self._newest_parts(table)
+        if whole:
+            return self.spark.read.schema(self._stored_schema(table)).parquet(whole)
+        folders = [folder for part, folder in sorted(found.items()) if parts is None or part in parts]
+        if not folders:
+            return self._nothing(self._stored_schema(table))
+        schema = T.StructType(SCHEMAS[table].fields + [T.StructField(c, T.IntegerType()) for c in ("version", "part")])
+        rows = self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*folders)
+        return rows.drop("version", "part")
+
+    def _newest_parts(self, table):
+        """(folder, {}) if the newest version is a whole one, else (None, folder of each part).
+
+        The first merge over a whole version writes every part that has rows,
+        so nothing older than that merge is needed.
+        """
+        found = {}
+        for version in reversed(self._versions(table)):
+            parts = self._parts_of(version)
+            if parts is None:
+                return (None, found) if found else (version, {})
+            for part, folder in parts.items():
+                found.setdefault(part, folder)
+        return None, found
+
+    def _parts_of(self, version):
+        """Folders of the parts in a version; None if it is a whole table."""
+        names = self.files.names(version)
+        if any(name.endswith(".parquet") for name in names):
+            return None
+        return {int(n.split("=")[1]): f"{version}/{n}" for n in names if n.startswith("part=")}
+
     def tables(self):
         return {name: self.read(name) for name in TABLES}
 
@@ -158,15 +196,54 @@ class Mart:
     def replace(self, table, rows):
         """Write all rows of a rewritten table as its next version.
 
-        The version before it stays for whoever is still reading it.
+        What was read before it stays for whoever is still reading it.
         """
         versions = self._versions(table)
-        number = self._version_number(versions[-1]) + 1 if versions else 1
-        target = f"{self.path(table)}/version={number:09d}"
-        self._shaped(table, rows).write.options(**MARK).mode("overwrite").parquet(target)
-        for outdated in versions[:-1]:
+        self._shaped(table, rows).write.options(**MARK).mode("overwrite").parquet(self._next_version(table, versions))
+        whole = [i for i, version in enumerate(versions) if self._parts_of(version) is None]
+        for outdated in versions[: max(whole, default=0)]:
             self.remove(outdated)
 
+    def merge(self, table, fresh, keys, update):
+        """Update or insert ``fresh`` in a rewritten table (see ``merge.upsert``).
+
+        Only the parts that ``fresh`` falls into are read, joined and written;
+        they become visible together. Nothing is written if there are none.
+        """
+        part = key_part(keys, PARTS)
+        touched = {row.part for row in fresh.select(part.alias("part")).distinct().collect()}  # at most PARTS
+        if not touched:
+            return
+        stored = self._read_parts(table, touched)
+        versions = self._versions(table)
+        merged = self._shaped(table, upsert(stored, fresh, keys, update)).withColumn("part", part)
+        # Gathers each part in a task, unless it is large.
+        writer = merged.hint("rebalance", "part").write.options(**MARK).partitionBy("part")
+        writer.mode("overwrite").parquet(self._next_version(table, versions))
+        self._forget_parts(table)
+
+    def _next_version(self, table, versions):
+        """The folder above the last complete version; what a lost run left there is overwritten."""
+        number = self._version_number(versions[-1]) + 1 if versions else 1
+        return f"{self.path(table)}/version={number:09d}"
+
+    def _forget_parts(self, table):
+        """Keep the newest two versions of each part: somebody may still read the older one."""
+        seen, versions = {}, self._versions(table)
+        for i in reversed(range(len(versions))):
+            version, parts = versions[i], self._parts_of(versions[i])
+            if parts is None:
+                # Two merges above a whole version: nobody needs it, nor what is older (which goes first).
+                for outdated in versions[: i + 1] if i < len(versions) - 2 else []:
+                    self.remove(outdated)
+                return
+            outdated = [folder for part, folder in parts.items() if seen.get(part, 0) > 1]
+            # A version without parts goes whole.
+            for folder in [version] if len(outdated) == len(parts) else outdated:
+                self.remove(folder)
+            for part in parts:
+                seen[part] = seen.get(part, 0) + 1
+
     def replace_run(self, table, column, value, rows):
         """Overwrite the folder of one run, also when it has no rows left."""
         folder = f"{self.path(table)}/{column}={value}"

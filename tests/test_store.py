@@ -1,6 +1,7 @@
 """Loads through the store: bucketed keys, additive sums, the gate, the run log."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from ledgerloom.operators import checks, merge, star
 from ledgerloom.plans import daily
 from ledgerloom.plans.daily import ConstraintError, LoadConfig, run_daily_load
 from ledgerloom.sinks import Mart
+from ledgerloom.sinks.mart import PARTS
 
 from test_daily import HISTORY, SALES, contents, write_inputs
 
@@ -198,3 +200,111 @@ def test_the_run_log(spark, tmp_path):
     assert first["category: sale", "HOGAR"] == 3 and first["category: return", "PAPELERIA"] == 1
     assert log.select("run_date").distinct().count() == 2
     assert {r.run_date for r in log.collect()} == {dt.date(2024, 1, 1), dt.date(2024, 1, 2)}
+
+
+# Products in parts ---------------------------------------------------------------------------
+
+
+def products(spark, first, last, name="n"):
+    now = F.current_timestamp()
+    return spark.range(first, last).select(
+        F.concat(F.lit("P"), "id").alias("product_code"), F.lit(name).alias("canonical_name"),
+        F.lit("HOGAR").alias("category"), F.lit(True).alias("is_active"),
+        now.alias("created_at"), now.alias("updated_at"),
+    )
+
+
+def files_of(mart):
+    folder = Path(mart.path("dim_products"))
+    return {str(p.relative_to(folder)) for p in folder.rglob("*.parquet")}
+
+
+def merge_products(mart, rows):
+    mart.merge("dim_products", rows, ["product_code"], ["canonical_name", "category", "updated_at"])
+
+
+def named(mart):
+    return {r.product_code: r.canonical_name for r in mart.read("dim_products").collect()}
+
+
+def test_a_merge_writes_only_the_parts_it_touches(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"))
+    merge_products(mart, products(spark, 0, 500, "first"))
+    before = files_of(mart)
+    assert len({p.split("/")[1] for p in before}) == PARTS
+    # One stored product and one that is new, each in its part.
+    reading = mart.read("dim_products")
+    merge_products(mart, products(spark, 499, 501, "second"))
+    added = files_of(mart) - before
+    assert before < files_of(mart) and {p.split("/")[0] for p in added} == {"version=000000002"}
+    assert 1 <= len({p.split("/")[1] for p in added}) <= 2
+    assert named(mart) == {f"P{i}": "first" for i in range(499)} | {"P499": "second", "P500": "second"}
+    # Other parts are not opened by the merge, and what was read before is still there.
+    assert reading.count() == 500
+    part = F.expr(f"pmod(xxhash64(product_code), {PARTS})")
+    wanted = {r[0] for r in products(spark, 499, 501).select(part).collect()}
+    found = mart._read_parts("dim_products", wanted)
+    assert {r[0] for r in found.select(part).distinct().collect()} == wanted
+    row = mart.read("dim_products").filter("product_code = 'P499'").first()
+    assert row.created_at < row.updated_at
+
+
+def test_a_merge_of_nothing_writes_nothing(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"))
+    merge_products(mart, products(spark, 0, 0))
+    assert files_of(mart) == set() and named(mart) == {}
+
+
+def test_a_lost_merge_changes_nothing(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"))
+    merge_products(mart, products(spark, 0, 50, "first"))
+    merge_products(mart, products(spark, 0, 20, "lost"))
+    (Path(mart.path("dim_products")) / "version=000000002" / "_SUCCESS").unlink()
+    assert set(named(mart).values()) == {"first"}
+    merge_products(mart, products(spark, 30, 31, "second"))
+    assert sorted(set(named(mart).values())) == ["first", "second"]
+    assert {p.split("/")[0] for p in files_of(mart)} == {"version=000000001", "version=000000002"}
+
+
+def test_outdated_parts_are_forgotten(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"))
+    mart.replace("dim_products", products(spark, 0, 100, "whole"))
+    expected = {f"P{i}": "whole" for i in range(100)}
+    for i in range(5):
+        merge_products(mart, products(spark, 7, 8, f"v{i}"))
+        assert named(mart) == expected | {"P7": f"v{i}"}
+    parts = [p.split("/")[1] for p in files_of(mart)]
+    touched = [p for p in set(parts) if parts.count(p) > 1]
+    assert len(touched) == 1 and parts.count(touched[0]) == 2
+    assert not [p for p in files_of(mart) if p.startswith("version=000000001")]
+    # A whole version again: rows that it lacks stay away, also after further merges.
+    mart.replace("dim_products", products(spark, 7, 8, "only"))
+    for i in range(3):
+        merge_products(mart, products(spark, 7, 9, f"w{i}"))
+        assert named(mart) == {"P7": f"w{i}", "P8": f"w{i}"}
+
+
+def test_an_unchanged_feed_may_rewrite_nothing(spark, tmp_path):
+    root = tmp_path / "in"
+    config = LoadConfig(write_inputs(root), str(tmp_path / "mart"), key_buckets=4, restamp_products=False)
+    mart = Mart(spark, config.mart_root, 4)
+    run_daily_load(spark, config, "2024-01-01")
+    first, rows = files_of(mart), sorted(mart.read("dim_products").collect())
+    run_daily_load(spark, config, "2024-01-02")
+    assert files_of(mart) == first and sorted(mart.read("dim_products").collect()) == rows
+    write_inputs(root, [*SALES[:3], "9,P2,blue box,1,1/5/2011 10:00,4,8,France", "9,P2,blue box,1,1/6/2011 10:00,4,8,France"])
+    run_daily_load(spark, config, "2024-01-03")
+    assert len(files_of(mart) - first) == 1
+    after = {r.product_code: r for r in mart.read("dim_products").collect()}
+    assert after["P2"].canonical_name == "Blue Box" and after["P2"].updated_at > after["P2"].created_at
+    assert after["P1A"] in rows and after["P3"] in rows
+    written = mart.run_log().filter("stage = 'written' AND name = 'dim_products'").orderBy("load_no").collect()
+    assert [r.n for r in written] == [3, 0, 1]
+
+
+def test_changed_rows(spark):
+    schema = "k string, v string, w int"
+    old = spark.createDataFrame([("a", "1", 1), ("b", None, 1), ("c", "1", 1)], schema)
+    new = spark.createDataFrame([("a", "1", 2), ("b", None, 2), ("c", None, 2), ("d", None, 2)], schema)
+    assert sorted(r.k for r in merge.changed_rows(old, new, ["k"], ["v"]).collect()) == ["c", "d"]
+    assert merge.changed_rows(old.limit(0), new, ["k"], ["v"]).count() == 4

@@ -419,6 +419,15 @@ SELECT coalesce(n.product_code, o.product_code) AS product_code,
   coalesce(n.category, o.category) AS category,
   CASE WHEN o.product_code IS NULL THEN 2 ELSE 1 END AS created_by_load,
   CASE WHEN n.product_code IS NULL THEN 1 ELSE 2 END AS updated_by_load
+FROM dim_products n FULL JOIN old_products o ON n.product_code = o.product_code""",
+    ),
+    "store_upsert_products": _with(
+        "dim_products old_products",
+        """
+SELECT coalesce(n.product_code, o.product_code) AS product_code,
+  coalesce(n.canonical_name, o.canonical_name) AS canonical_name,
+  coalesce(n.category, o.category) AS category,
+  o.product_code IS NOT NULL AND n.product_code IS NOT NULL AS updated_later
 FROM dim_products n FULL JOIN old_products o ON n.product_code = o.product_code""",
     ),
     "merge_insert_customers": _with(

@@ -278,6 +278,13 @@ def store_insert_facts(spark, folder):
     return _comparable(facts.drop("transaction_id", "loaded_at", "month_id"))
 
 
+def store_upsert_products(spark, folder):
+    """As ``merge_upsert_products``, but through the store: parts of products after two loads."""
+    products = loaded_twice(spark, folder).read("dim_products")
+    kept_date = F.col("created_at") < F.col("updated_at")
+    return products.select("product_code", "canonical_name", "category", kept_date.alias("updated_later"))
+
+
 def store_agg_refresh(spark, folder):
     """As ``agg_refresh``, but through the store: sums of the first load, and the second's added."""
     daily = loaded_twice(spark, folder).read("agg_daily_revenue").drop("updated_at", "month_id")
@@ -441,6 +448,7 @@ QUERIES = {
     "sheet_counts": sheet_counts,
     "store_insert_facts": store_insert_facts,
     "store_agg_refresh": store_agg_refresh,
+    "store_upsert_products": store_upsert_products,
     "gate_violations": gate_violations,
     "q4_countries_sketch": q4_countries_sketch,
     "q5_customer_segments_sketch": q5_customer_segments_sketch,
