@@ -7,7 +7,10 @@ source has given its target. All copies are ordered by finish time and cut
 where their words reach the total budget.
 
 Only sums travel: the finish range is narrowed, a thousand parts at a time, to
-the part where the budget is reached, and only that part is sorted.
+the part where the budget is reached, and only that part is sorted. Finish
+times rise along a source's line, so the documents taken a k-th time are the
+start of that line: :func:`mix_documents` keeps the last place of each start
+and judges every document where it is, without moving texts.
 
 Defined cases: a null text has no words; a null source is a source of its own,
 after the others; documents without words, and sources without words or with
@@ -94,10 +97,33 @@ class Mix:
 
     def attach(self, docs: DataFrame) -> DataFrame:
         """Add source_size, target, finish times and times taken to rows with doc_id, source, size, tie."""
+        return self.taken(docs).drop("skey", "digest", "bucket", "running")
+
+    def taken(self, docs: DataFrame) -> DataFrame:
+        """As :meth:`attach`, with the place in the source's line."""
         lined = running_total(
             _lined(docs, self.digits), ["skey"], "bucket", ORDER, "size", self.starts
         )
-        return with_taken(lined, self.cut, self.max_repeats).drop("skey", "digest", "bucket", "running")
+        return with_taken(lined, self.cut, self.max_repeats)
+
+    def ends(self, docs: DataFrame) -> DataFrame:
+        """Per source key, where the documents taken once, twice, ... end in its line.
+
+        ``ends`` holds a struct for each: the last place ``at``, and how many of
+        the rows that share that place are taken (``among``).
+        """
+        alike = Window.partitionBy("skey", "bucket").orderBy(*ORDER)
+        among = F.row_number().over(alike) - F.rank().over(alike) + 1
+        taken = self.taken(docs).withColumn("among", among).where("times > 0")
+        taken = staged(taken.select("skey", *ORDER, "running", "times", "among"), "taken")
+        copies = range(self.max_repeats)
+        last = taken.groupBy("skey").agg(
+            *[F.max(F.when(F.col("times") > k, F.col("running"))).alias(f"last_{k}") for k in copies]
+        )
+        ends = F.filter(F.array(*[f"last_{k}" for k in copies]), lambda x: x == F.col("running"))
+        end = F.struct(F.struct(*ORDER).alias("at"), "among")
+        found = taken.join(last, "skey").select("skey", end.alias("end"), F.explode(ends))
+        return found.groupBy("skey").agg(F.collect_list("end").alias("ends"))
 
 
 def finish_times(max_repeats):
@@ -185,9 +211,37 @@ def sized(docs: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame, weights=ranked_weights, max_repeats=MAX_REPEATS) -> DataFrame:
     """The mixed documents: each row as often as the mix takes it, in the columns of ``docs``."""
     rows = sized(docs)
-    plan = plan_mix(staged(rows.drop("row"), "sizes"), weights, max_repeats)
-    times = F.expr("array_repeat(1, times)")
-    return plan.attach(rows).where("times > 0").withColumn("copy", F.explode(times)).select("row.*")
+    sizes = staged(rows.drop("row"), "sizes")
+    plan = plan_mix(sizes, weights, max_repeats)
+    ends = staged(plan.ends(sizes), "ends")
+    # One row per source: broadcast while Spark measures it as small, else dealt by source.
+    placed = _lined(rows.where("size > 0"), plan.digits).join(ends, "skey")
+    placed = placed.select("row", "skey", F.struct(*ORDER).alias("place"), "ends")
+    times = F.size(F.filter("ends", lambda end: end["at"] > F.col("place")))
+    before = placed.withColumn("times", times).where("times > 0")
+    before = before.withColumn("copy", F.explode(F.expr("array_repeat(1, times)")))
+    return before.select("row.*").unionByName(at_ends(placed).select("row.*"))
+
+
+def at_ends(placed: DataFrame) -> DataFrame:
+    """Rows that stand at an end of their source's line, as often as they are taken there.
+
+    Only rows equal in id, size and text share a place. Equal ones become one row
+    with their number before they are dealt.
+    """
+    here = F.filter("ends", lambda end: end["at"] == F.col("place"))
+    here = placed.withColumn("here", F.transform(here, lambda end: end["among"])).where(F.size("here") > 0)
+    micros = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    alike = here.groupBy("skey", "place", F.md5(F.to_json("row", micros)).alias("kind")).agg(
+        F.first("row").alias("row"), F.first("here").alias("here"), F.count("*").alias("n")
+    )
+    line = Window.partitionBy("skey", "place").orderBy("kind")
+    earlier = F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    # Of each end's rows those go first that come first by kind.
+    share = lambda among: F.greatest(F.least(among - F.col("earlier"), F.col("n")), F.lit(0))
+    times = F.aggregate(F.transform("here", share), F.lit(0).cast("long"), lambda x, y: x + y)
+    taken = alike.withColumn("earlier", earlier).withColumn("times", times.cast("int")).where("times > 0")
+    return taken.withColumn("copy", F.explode(F.expr("array_repeat(1, times)")))
 
 
 def mix_sequence(docs: DataFrame, weights=ranked_weights, max_repeats=MAX_REPEATS) -> DataFrame:
