@@ -51,9 +51,10 @@ def packed(docs: DataFrame, *needed: str) -> DataFrame:
     )
 
 
-def row_key(*names: str) -> Column:
+def row_key(*names: str | Column) -> Column:
     """A non-null key that only rows with equal values share (by default of doc_id and text)."""
-    values = [F.col(f"`{n}`").cast("string") for n in names or ("doc_id", "text")]
+    columns = [n if isinstance(n, Column) else F.col(f"`{n}`") for n in names or ("doc_id", "text")]
+    values = [c.cast("string") for c in columns]
     return F.md5(F.concat_ws("\x01", *[F.coalesce(v, F.lit("\x02")) for v in values]))
 
 

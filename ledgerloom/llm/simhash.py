@@ -43,6 +43,8 @@ SHINGLE = 4
 DISTANCE = 4
 SEED = 42
 BUCKET = 2048
+# Ids of rows that have copies are marked in this many words of 64 bits: the most that is broadcast.
+MARK_WORDS = 1 << 18
 # Reference fingerprints: digests of their numbers, so spread over all bits.
 PIVOTS = np.array([xxhash.xxh64_intdigest(str(i).encode(), SEED) for i in range(16)], np.uint64)
 
@@ -295,15 +297,49 @@ def near_duplicates(docs: DataFrame, width=SHINGLE, distance=DISTANCE) -> DataFr
 
 
 def drop_near_duplicates(docs: DataFrame, width=SHINGLE, distance=DISTANCE) -> DataFrame:
-    """One row of each component: the one that names it (of equal ids the first by text digest)."""
+    """One row of each component: the one that names it (of equal ids the first by text digest).
+
+    Rows whose id is not marked are kept where they are; only the others are
+    dealt by key to meet the keys that stay. Marks are a fixed number of bits,
+    so with very many copies more rows are dealt, never fewer judged.
+    """
     keyed = docs.select("doc_id", "text", row_key().alias("key"))
     prints = staged(fingerprints(keyed, width), "prints")
     marked = prints.join(classes(prints, distance), "fp")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key"))
-    first = marked.groupBy("root").agg(best.alias("best")).select("best.key")
+    first = marked.groupBy("root").agg(best.alias("best")).select("best.key").distinct()
+    first = staged(first, "first")
+    marks = staged(doubtful_ids(prints, first), "marks")
+    rows = packed(docs, id_place(F.col("doc_id")).alias("place"))
+    rows = rows.withColumn("word", word_of("place")).join(F.broadcast(marks), "word", "left")
+    doubtful = F.coalesce(F.getbit("bits", bit_of("place")), F.lit(0)) == 1
+    sure = rows.where(~doubtful).select("row.*")
     same = Window.partitionBy("key").orderBy("key")
-    rows = packed(docs, row_key().alias("key")).join(first.distinct(), "key")
-    return rows.withColumn("copy", F.row_number().over(same)).where("copy = 1").select("row.*")
+    key = row_key(F.col("row.doc_id"), F.col("row.text")).alias("key")
+    judged = rows.where(doubtful).select("row", key).join(first, "key")
+    judged = judged.withColumn("copy", F.row_number().over(same)).where("copy = 1")
+    return sure.unionByName(judged.select("row.*"))
+
+
+def id_place(doc_id):
+    return F.pmod(F.xxhash64(doc_id), F.lit(64 * MARK_WORDS))
+
+
+def word_of(place):
+    return F.shiftright(place, 6)
+
+
+def bit_of(place):
+    return F.col(place).bitwiseAND(F.lit(63)).cast("int")
+
+
+def doubtful_ids(prints: DataFrame, first: DataFrame) -> DataFrame:
+    """Marks (word, bits) of the ids of rows that do not stay or that are repeated."""
+    keys = prints.groupBy("key").agg(F.min(id_place(F.col("doc_id"))).alias("place"), F.count("*").alias("n"))
+    stays = first.withColumn("stays", F.lit(True))
+    places = keys.join(stays, "key", "left").where("stays IS NULL OR n > 1")
+    bits = F.bit_or(F.expr("shiftleft(1L, cast(place & 63 AS int))")).alias("bits")
+    return places.groupBy(word_of("place").alias("word")).agg(bits)
 
 
 def op4_simhash_near_duplicates(spark, sf_dir: str) -> DataFrame:
