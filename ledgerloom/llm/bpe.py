@@ -56,6 +56,11 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def is_word(chunk: str) -> bool:
+    """Whether the split pattern surely leaves a chunk whole: ASCII letters, after a space or not."""
+    return chunk.isascii() and chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha())
+
+
 class Bpe:
     """Tables of one vocabulary, and a cache of encoded chunks."""
 
@@ -98,15 +103,13 @@ class Bpe:
         flat = np.frombuffer(b"".join(words), np.uint8)
         symbols = self.first[flat]
         owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        places = np.full(len(symbols), -1)
+        changed = np.arange(len(symbols))
         done = []
         while len(symbols):
-            places = np.full(len(symbols), -1)
-            rank = np.full(len(symbols), NONE)
-            pair = symbols[:-1] << 32 | symbols[1:]
-            at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
-            known = np.flatnonzero((self.keys[at] == pair) & (owner[:-1] == owner[1:]))
-            places[known] = at[known]
-            rank[known] = self.ranks[at[known]]
+            # Only pairs beside the last round's merges are searched anew.
+            places[changed] = self.pair_places(symbols, owner, changed)
+            rank = np.where(places < 0, NONE, self.ranks[places])
             heads = np.flatnonzero(np.diff(owner, prepend=-1))
             best = np.minimum.reduceat(rank, heads)
             best = np.repeat(best, np.diff(heads, append=len(symbols)))
@@ -120,7 +123,9 @@ class Bpe:
             chosen = chosen[inside % 2 == 0]
             symbols[chosen] = self.merged[places[chosen]]
             open_[chosen + 1] = False
-            symbols, owner = symbols[open_], owner[open_]
+            chosen = np.cumsum(open_)[chosen] - 1
+            changed = np.concatenate([chosen, chosen[chosen > 0] - 1])
+            symbols, owner, places = symbols[open_], owner[open_], places[open_]
         owner = np.concatenate([o for o, _ in done]) if done else np.zeros(0, np.int64)
         ids = np.concatenate([s for _, s in done]) if done else np.zeros(0, np.int64)
         order = np.argsort(owner, kind="stable")
@@ -128,6 +133,14 @@ class Bpe:
         ends = 4 * np.searchsorted(owner[order], np.arange(len(words) + 1))
         return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
+    def pair_places(self, symbols, owner, at):
+        """Row in the sorted pair keys of the pair that starts at each of the places ``at``, or -1."""
+        after = np.minimum(at + 1, len(symbols) - 1)
+        pair = symbols[at] << 32 | symbols[after]
+        found = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        known = (self.keys[found] == pair) & (owner[at] == owner[after]) & (after > at)
+        return np.where(known, found, -1)
+
     @functools.cached_property
     def pairs(self):
         """Rank and merged symbol of each pair that merges."""
@@ -180,21 +193,22 @@ class Bpe:
         if self.cached > CACHED_CHARS:
             self.cache, self.cached = {}, 0
         new = [c for c in chunks if c not in self.cache]
-        split = [SPLIT.findall(c) for c in new]
+        split = [[c] if is_word(c) else SPLIT.findall(c) for c in new]
         words = list(dict.fromkeys(w for part in split for w in part))
         ids = {w: self.merge_long(w.encode()) for w in words if len(w) > LONG_WORD}
-        words = [w for w in words if w not in ids]
+        if ids:
+            words = [w for w in words if w not in ids]
         for at in range(0, len(words), WORDS_AT_ONCE):
             some = words[at : at + WORDS_AT_ONCE]
             ids.update(zip(some, self.merge([w.encode() for w in some])))
         for chunk, part in zip(new, split):
-            self.cache[chunk] = b"".join([ids[w] for w in part])
+            self.cache[chunk] = ids[part[0]] if len(part) == 1 else b"".join([ids[w] for w in part])
             self.cached += len(chunk) + 50
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Token ids of each text, as little-endian 32-bit integers."""
         cut = [self.chunks(x) for x in texts]
-        self.learn({c for parts in cut for c in parts} - self.specials.keys())
+        self.learn(set().union(*cut) - self.specials.keys())
         self.cache.update(self.specials)
         return [b"".join(map(self.cache.__getitem__, parts)) for parts in cut]
 
