@@ -1,6 +1,7 @@
 """Percentiles inside the plan, and sketches of quantiles and distinct counts."""
 
 from decimal import Decimal
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -18,6 +19,7 @@ from ledgerloom.operators.percentile import (
 from ledgerloom.plans import business
 from ledgerloom.plans.daily import LoadConfig, run_daily_load
 from ledgerloom.sinks import Mart
+from verification.extracts import broken_extract
 from verification.loaded import loaded
 
 from test_daily import HISTORY, write_inputs
@@ -91,3 +93,20 @@ def test_sketches_switched_on_later_cover_all_facts(spark, tmp_path, monkeypatch
         run_daily_load(spark, later, day)
         question = business.q4_countries_sketch(mart.read("agg_daily_invoices"))
         assert question.collect() == business.q4_countries(mart.tables()).collect()
+
+
+def test_files_of_a_made_extract_grow_in_number_with_its_table(spark, tmp_path):
+    lines = spark.range(64).select(
+        F.col("id").alias("l_orderkey"), F.col("id").alias("l_partkey"),
+        F.lit(1).alias("l_linenumber"), F.lit("N").alias("l_returnflag"),
+    )
+    lines.repartition(8).write.parquet(f"{tmp_path}/lineitem.parquet")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # one task for each file
+    try:
+        path = broken_extract(spark, str(tmp_path), overlong=False)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    files = list(Path(path.removeprefix("file:")).glob("*.csv"))
+    assert len(files) == 8
+    assert sum(len(file.read_text().splitlines()) - 1 for file in files) == 64
