@@ -179,7 +179,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     if not prior:
         return Model(np.zeros(WIDTH), 0.5)
     positive = F.coalesce("positive", F.lit(False)).alias("positive")
-    unlabelled, trusted = moments(rows.join(known, "doc_id", "left").select("x", positive))
+    # A broadcast would put both passes over the rows into one stage, with two Python workers to a task.
+    marked = rows.join(known.hint("shuffle_hash"), "doc_id", "left")
+    unlabelled, trusted = moments(marked.select("x", positive))
     if not trusted[0]:
         return Model(np.zeros(WIDTH), prior)
     return Model(minimise(unlabelled, trusted, prior), prior)

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, simhash
+from ledgerloom.llm import mixing, quality_model, simhash
 from ledgerloom.llm.common import staged
 
 SCHEMA = "doc_id long, text string, source string, note map<string,int>, row timestamp"
@@ -72,3 +72,16 @@ def test_one_document_of_each_component_stays(spark, monkeypatch, words):
     prints = known.select("fp", "component_id").distinct()
     groups = simhash.classes(staged(known.select("doc_id", "fp"), "prints"))
     assert len(kept) == groups.select("root").distinct().count() and prints.count() > 0
+
+
+def test_the_classifiers_passes_are_in_stages_of_their_own(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(40)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) quality")
+    seen = []
+    collected = quality_model.moments
+    monkeypatch.setattr(quality_model, "moments", lambda rows: (seen.append(rows), collected(rows))[1])
+    quality_model.train(docs, labels)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    # However small the labels are: beside a broadcast, a task would hold the workers of both passes.
+    assert "BroadcastHashJoin" not in plan
+    assert plan.index("ShuffledHashJoin") < plan.index("Exchange") < plan.index("MapInArrow")
