@@ -110,9 +110,14 @@ SKETCH_K = 2048
 RANK_ERROR = 0.002
 
 
+def quantile_sketch(column, k=SKETCH_K):
+    """The mergeable quantile sketch of a column, as an aggregate."""
+    return F.kll_sketch_agg_double(F.col(column).cast("double"), F.lit(k))
+
+
 def quantile_sketches(rows, keys, column, k=SKETCH_K):
     """One mergeable quantile sketch of ``column`` per group, from one aggregation."""
-    return rows.groupBy(*keys).agg(F.kll_sketch_agg_double(F.col(column).cast("double"), F.lit(k)).alias("sketch"))
+    return rows.groupBy(*keys).agg(quantile_sketch(column, k).alias("sketch"))
 
 
 def merged_sketches(sketches, keys=(), k=SKETCH_K):

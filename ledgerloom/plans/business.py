@@ -12,7 +12,7 @@ from ..functions import percent, ratio
 from ..operators.percentile import (
     SKETCH_K,
     percentile_in_plan,
-    quantile_sketches,
+    quantile_sketch,
     sketched_quantile,
 )
 
@@ -245,12 +245,9 @@ def q7_limits(tables, min_sold=10, fraction=0.75):
 
 def q7_limits_sketch(tables, min_sold=10, fraction=0.75, k=SKETCH_K):
     """The limits up to the rank error of a sketch of size ``k``, from one pass over the totals."""
-    totals = _review_totals(tables, min_sold)
-    sides = [
-        sketched_quantile(quantile_sketches(totals, [], name, k).select("sketch").scalar(), fraction).alias(name)
-        for name in ("gross_revenue", RATE)
-    ]
-    return totals.sparkSession.range(1).select(*sides)
+    names = ["gross_revenue", RATE]
+    sketches = _review_totals(tables, min_sold).agg(*[quantile_sketch(name, k).alias(name) for name in names])
+    return sketches.select(*[sketched_quantile(F.col(name), fraction).alias(name) for name in names])
 
 
 def q7_review_candidates(tables, k=15, min_sold=10, fraction=0.75):

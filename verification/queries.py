@@ -402,19 +402,20 @@ def q7_limits_sketch(spark, folder):
     """Whether the ranks of the sketched limits are as near as promised: (limit, rows, near)."""
     tables = loaded(spark, folder).tables
     limits = business.q7_limits_sketch(tables)
-    totals = business._review_totals(tables, 10)
+    names = limits.columns
+    # One pass over the totals for both limits, whose sketches are made from the same sums.
+    limit = limits.select(F.struct(*[F.col(name).cast("double").alias(name) for name in names])).scalar()
+    values = {name: F.col(name).cast("double") for name in names}
+    counts = [F.count_if(value < limit[name]).alias(f"below_{name}") for name, value in values.items()]
+    counts += [F.count_if(value <= limit[name]).alias(f"upto_{name}") for name, value in values.items()]
+    found = business._review_totals(tables, 10).agg(F.count("*").alias("rows"), *counts)
+    slack = F.ceil(RANK_ERROR * F.col("rows")) + 1
 
     def checked(name):
-        limit = limits.select(F.col(name).cast("double")).scalar()
-        value = F.col(name).cast("double")
-        found = totals.agg(
-            F.count("*").alias("rows"), F.count_if(value < limit).alias("below"), F.count_if(value <= limit).alias("upto")
-        )
-        slack = F.ceil(RANK_ERROR * F.col("rows")) + 1
-        near = (F.col("below") <= 0.75 * F.col("rows") + slack) & (F.col("upto") >= 0.75 * F.col("rows") - slack)
-        return found.select(F.lit(name).alias("limite"), "rows", near.alias("near"))
+        near = (F.col(f"below_{name}") <= 0.75 * F.col("rows") + slack) & (F.col(f"upto_{name}") >= 0.75 * F.col("rows") - slack)
+        return F.struct(F.lit(name).alias("limite"), "rows", near.alias("near"))
 
-    return checked("gross_revenue").unionByName(checked("tasa_devolucion_pct"))
+    return found.select(F.inline(F.array(*[checked(name) for name in names])))
 
 
 QUERIES = {
